@@ -67,9 +67,14 @@ def unwrap_bare(pages: DataFrame, record: T.DataType | str, *, position: bool =
 
 
 def unwrap_item_envelope(rows: DataFrame, field: str = "data") -> DataFrame:
-    """Replace each row by the object it carries in ``field``; rows without one are dropped."""
+    """Replace each row by the object it carries in ``field``; rows without one are dropped.
+
+    A generator rather than a filter drops them: Spark may run an IS NOT NULL filter
+    after a later check that raises, and then see the dropped rows fail it.
+    """
     keep = [c for c in (PAGE, POSITION) if c in rows.columns]
-    return rows.where(F.col(field).isNotNull()).select(*keep, f"{field}.*")
+    found = F.filter(F.array(field), lambda x: x.isNotNull())
+    return rows.select(*keep, F.explode(found).alias("_inner")).select(*keep, "_inner.*")
 
 
 def drop_page(rows: DataFrame) -> DataFrame:

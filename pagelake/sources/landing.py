@@ -11,10 +11,19 @@ from pyspark.sql import types as T
 
 from pagelake.functions.jsonpath import WRITE_OPTIONS, record_texts
 
-PAGES = T.StructType.fromDDL(
-    "source string, resource string, run_id string, feed string, page_no bigint, "
-    "request_key map<string,string>, http_status int, link_next string, "
-    "landed_at timestamp, body string"
+PAGES = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("resource", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("feed", T.StringType()),
+        T.StructField("page_no", T.LongType()),
+        T.StructField("request_key", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("http_status", T.IntegerType()),
+        T.StructField("link_next", T.StringType()),
+        T.StructField("landed_at", T.TimestampType()),
+        T.StructField("body", T.StringType()),
+    ]
 )
 PARTITIONS = ("source", "resource", "run_id")
 
