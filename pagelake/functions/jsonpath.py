@@ -13,10 +13,6 @@ WRITE_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-READ_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
-}
 
 
 def as_type(schema: T.DataType | str) -> T.DataType:
@@ -109,14 +105,14 @@ def records(body: Column, selector: str, record: T.DataType) -> Column:
     steps = _selector_steps(selector)
     raw = record_texts(body, selector)
     one_by_one = F.transform(
-        F.filter(raw, _starts_object), lambda x: F.from_json(x, record, READ_OPTIONS)
+        F.filter(raw, _starts_object), lambda x: F.from_json(x, record)
     )
     if not steps:
         found = F.when(
-            _starts_object(body) | _starts_array(body), F.from_json(body, listed, READ_OPTIONS)
+            _starts_object(body) | _starts_array(body), F.from_json(body, listed)
         )
     else:
-        found = _walk(F.from_json(body, _nest(steps, listed), READ_OPTIONS), steps, listed)
+        found = _walk(F.from_json(body, _nest(steps, listed)), steps, listed)
     if any(many for _, many in steps):
         # A wildcard walk turns a failed inner parse into an empty list, so compare sizes.
         one_by_one = F.when(F.size(raw) > F.size(found), one_by_one)

@@ -103,6 +103,15 @@ def land(
     return make_pages(grouped.withColumn("body", body), **page)
 
 
+def even_pages(rows: DataFrame, key: list[str], size: int) -> Column:
+    """Page number that spreads rows evenly over pages of about ``size`` rows.
+
+    By a hash of a unique key, so no page grows with a frequent value.
+    """
+    pages = max(1, -(-rows.count() // size))
+    return F.pmod(F.xxhash64(*key), F.lit(pages)) + 1
+
+
 def infer_record(pages: DataFrame, selector: str) -> T.StructType:
     """Record type found in the bodies: a distributed aggregate, one type text comes back.
 
@@ -154,14 +163,6 @@ def _over(found: T.DataType, want: T.DataType) -> T.DataType:
     return want
 
 
-def stream_pages(spark: SparkSession, path: str, *, max_files: int | None = None) -> DataFrame:
-    """Landed pages as a stream of newly arrived files."""
-    reader = spark.readStream.schema(PAGES)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
-
-
 def has_pages(spark: SparkSession, path: str) -> bool:
     """True where a landing folder exists."""
     try:
