@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,10 +84,7 @@ def normalize_subject(subject: Column) -> Column:
 
 def has_token(name: Column, tokens: tuple[str, ...]) -> Column:
     """True where the folded name contains one of the tokens anywhere."""
-    folded = casefold(name)
-    return F.coalesce(
-        reduce(lambda a, b: a | b, [F.contains(folded, F.lit(t)) for t in tokens]), F.lit(False)
-    )
+    return F.coalesce(casefold(name).rlike("|".join(map(re.escape, tokens))), F.lit(False))
 
 
 def round_from_filename(name: Column) -> Column:

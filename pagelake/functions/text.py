@@ -15,24 +15,46 @@ def _folds() -> dict[str, str]:
 
     Capital sigma is added because its lower case depends on its place in the word.
     """
-    table = {c: c.casefold() for c in map(chr, range(0x80, 0xD800)) if c.casefold() != c.lower()}
-    table.update(
-        {c: c.casefold() for c in map(chr, range(0xE000, 0x10000)) if c.casefold() != c.lower()}
-    )
+    points = [*range(0x80, 0xD800), *range(0xE000, 0x10000)]
+    table = {c: c.casefold() for c in map(chr, points) if c.casefold() != c.lower()}
     table["Σ"] = "σ"
     return table
 
 
+def _char_class(chars: list[str]) -> str:
+    """Regex class of the characters, neighbours joined to ranges."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in ranges) + "]"
+
+
+# Latin text has folds of its own only for these two letters.
+_MAY_FOLD = r"[\xb5\xdf\x{130}-\x{ffff}]"
+
+
 def casefold(value: Column) -> Column:
-    """Unicode case folding. Plain text takes the ``lower`` path."""
+    """Unicode case folding.
+
+    Plain text takes the ``lower`` path. One-to-one folds and sharp s are put in before
+    lowering; only text with a rarer fold is mapped character by character.
+    """
     folds = _folds()
-    special = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in folds) + "]"
-    pairs = [F.lit(x) for kv in folds.items() for x in kv]
-    mapping = F.create_map(*pairs)
-    each = F.transform(
+    single = [c for c, f in folds.items() if len(f) == 1 and f.lower() == f]
+    rare = [c for c in folds if c not in single and c != "ß"]
+    mapping = F.create_map(*[F.lit(x) for kv in folds.items() for x in kv])
+    by_char = F.transform(
         F.split(value, ""), lambda c: F.coalesce(F.try_element_at(mapping, c), F.lower(c))
     )
-    return F.when(value.rlike(special), F.array_join(each, "")).otherwise(F.lower(value))
+    swapped = F.translate(value, "".join(single), "".join(folds[c] for c in single))
+    return (
+        F.when(~value.rlike(_MAY_FOLD), F.lower(value))
+        .when(value.rlike(_char_class(rare)), F.array_join(by_char, ""))
+        .otherwise(F.lower(F.replace(swapped, F.lit("ß"), F.lit("ss"))))
+    )
 
 
 def collapse_spaces(value: Column) -> Column:

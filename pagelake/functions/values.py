@@ -40,7 +40,7 @@ def entry_scalar(entry: Column) -> Column:
 
 def scalar_of_json_entry(entry_json: Column) -> Column:
     """Same as :func:`entry_scalar` for an entry given as JSON text."""
-    return entry_scalar(F.from_json(entry_json, _MAP))
+    return F.get(F.transform(F.array(F.from_json(entry_json, _MAP)), entry_scalar), 0)
 
 
 def active_value(entries_json: Column) -> Column:
@@ -50,7 +50,8 @@ def active_value(entries_json: Column) -> Column:
     current = F.filter(
         maps, lambda m: m.isNotNull() & F.try_element_at(m, F.lit("active_until")).isNull()
     )
-    return entry_scalar(F.get(current, 0))
+    # As a lambda, so that the entries are parsed once and not once per use.
+    return F.get(F.transform(current, entry_scalar), 0)
 
 
 def epoch_to_ts(seconds: Column) -> Column:

@@ -33,11 +33,12 @@ def promote_active(df: DataFrame, attributes: Sequence[str], column: str = "valu
 
     The value a row already has under that name wins.
     """
-    entries = F.from_json(F.col(column), "map<string,string>")
-    found = {a: V.active_value(F.try_element_at(entries, F.lit(a))) for a in attributes}
-    return df.withColumns(
+    # A step of its own: Spark parses the object once, not once per attribute.
+    parsed = df.withColumn("_entries", F.from_json(F.col(column), "map<string,string>"))
+    found = {a: V.active_value(F.try_element_at("_entries", F.lit(a))) for a in attributes}
+    return parsed.withColumns(
         {a: F.coalesce(F.col(a), v) if a in df.columns else v for a, v in found.items()}
-    )
+    ).drop("_entries")
 
 
 def promote_found(df: DataFrame, known: Sequence[str] = (), column: str = "values") -> DataFrame:
