@@ -99,7 +99,8 @@ def records(body: Column, selector: str, record: T.DataType) -> Column:
     the empty selector means the body is the array (or one object). The typed parse
     is tried first. A single element that is no object makes that parse yield NULL
     for the whole array, so in that case the elements are taken as raw text and the
-    objects among them are parsed one by one: no page loses rows.
+    objects among them are parsed one by one: no page loses rows. A body that is no
+    JSON fails the job; that check, too, runs only where nothing was found.
     """
     listed = T.ArrayType(record)
     steps = _selector_steps(selector)
@@ -116,8 +117,11 @@ def records(body: Column, selector: str, record: T.DataType) -> Column:
     if any(many for _, many in steps):
         # A wildcard walk turns a failed inner parse into an empty list, so compare sizes.
         one_by_one = F.when(F.size(raw) > F.size(found), one_by_one)
-        found, one_by_one = one_by_one, found
-    return F.filter(F.coalesce(found, one_by_one), lambda x: x.isNotNull())
+        found, one_by_one = one_by_one, F.when(F.size(found) > 0, found)
+    broken = (F.trim(body) != "") & F.try_parse_json(body).isNull()
+    message = F.concat(F.lit("page body is no JSON: "), F.substring(body, 1, 80))
+    failed = F.when(broken, F.raise_error(message).cast(listed))
+    return F.filter(F.coalesce(found, one_by_one, failed), lambda x: x.isNotNull())
 
 
 def record_texts(body: Column, selector: str) -> Column:
@@ -125,7 +129,7 @@ def record_texts(body: Column, selector: str) -> Column:
     texts = T.ArrayType(T.StringType())
     steps = _selector_steps(selector)
     if not steps:
-        return F.when(_starts_object(body), F.array(body)).otherwise(F.from_json(body, texts))
+        return F.when(is_json_object(body), F.array(body)).otherwise(F.from_json(body, texts))
     return _walk(F.from_json(body, _nest(steps, texts)), steps, texts)
 
 

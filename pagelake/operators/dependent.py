@@ -13,7 +13,7 @@ from pagelake.functions import values as V
 from pagelake.functions.jsonpath import as_type
 from pagelake.functions.text import email_domain
 from pagelake.operators.contract import columns, ensure_columns
-from pagelake.operators.joins import lookup_join
+from pagelake.operators.joins import HOT_PAGES, lookup_join
 from pagelake.operators.pages import file_attachments, file_items, unwrap, with_attachments
 
 
@@ -33,7 +33,10 @@ def child_pages(
     keyed = pages.withColumns(
         {f"_key_{k}": F.try_element_at("request_key", F.lit(k)) for k in link}
     )
-    return lookup_join(keyed, wanted, list(keys), "inner", spread=["feed", "page_no"]).drop(*keys)
+    joined = lookup_join(
+        keyed, wanted, list(keys), "inner", spread=["feed", "page_no"], hot_rows=HOT_PAGES
+    )
+    return joined.drop(*keys)
 
 
 def children(
@@ -196,7 +199,7 @@ def sharepoint_documents(items: DataFrame, content: DataFrame, site_id: str) ->
         F.col("lastModifiedDateTime").alias("modified_at"),
     ).select("*", "_class.*")
     described = described.drop("_class")
-    found = lookup_join(content, described, ["item_id"], "inner", spread=["item_id"])
+    found = lookup_join(content, described, ["item_id"], "inner")
     found = found.withColumn("content_base64", V.encode_content(F.col("content")))
     lost = F.concat(F.lit("no content for item "), F.col("item_id"))
     missing = described.join(content.select("item_id"), "item_id", "left_anti").withColumn(

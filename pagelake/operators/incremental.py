@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagelake.operators.joins import lookup_join
@@ -63,6 +63,16 @@ def late_rows(df: DataFrame, cursor: str, start: str) -> DataFrame:
     return df.where(F.coalesce(F.col(cursor), F.lit("")) <= F.lit(start))
 
 
+def skip_stale_counted(df: DataFrame, cursor: str, start: str) -> tuple[DataFrame, Observation]:
+    """:func:`skip_stale` that reports ``late`` and ``fresh`` counts once the rows were used."""
+    watch = Observation()
+    fresh = F.coalesce(F.col(cursor), F.lit("")) > F.lit(start)
+    seen = df.observe(
+        watch, F.count_if(~fresh).alias("late"), F.count_if(fresh).alias("fresh")
+    )
+    return skip_stale(seen, cursor, start), watch
+
+
 def take_while_fresh(
     rows: DataFrame,
     cursor: str,
@@ -134,12 +144,12 @@ def numbered_slices(
     counts = sorted(
         (r["_part"], r["n"]) for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()
     )
-    offsets, total = [], 0
-    for part, n in counts:
-        offsets += [F.lit(part), F.lit(total).cast("bigint")]
-        total += n
-    if not offsets:
+    if not counts:
         return ranged.drop("_part", "_index").withColumn(column, F.lit(1).cast("bigint"))
-    before = F.try_element_at(F.create_map(*offsets), F.col("_part"))
+    sizes = dict(counts)
+    offsets = [0]
+    for part in range(counts[-1][0]):
+        offsets.append(offsets[-1] + sizes.get(part, 0))
+    before = F.get(F.lit(offsets).cast("array<bigint>"), F.col("_part"))
     number = F.floor((before + F.col("_index")) / F.lit(max_rows)) + 1
     return ranged.withColumn(column, number.cast("bigint")).drop("_part", "_index")

@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagelake.session import settle
 
-# A lookup side is broadcast only when counted to be at most this many rows.
+# A lookup side is broadcast only when measured to be within both of these.
 BROADCAST_ROWS = 200_000
-# A key with more rows than this is spread over several tasks.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A key with more rows than this is spread over several tasks. Pages are large rows.
 HOT_ROWS = 1_000_000
+HOT_PAGES = 10_000
 
 
 def lookup_join(
@@ -27,16 +30,36 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` with ``lookup``, which has one narrow row per key.
 
-    The lookup is written to the checkpoint folder once and counted there. Up to
-    ``broadcast_rows`` it is broadcast, so the facts are not shuffled at all. Beyond
-    that the join shuffles, with hot keys split (:func:`split_join`).
+    The lookup is written to the checkpoint folder once and measured there. If it has at
+    most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` bytes it is broadcast, so the
+    facts are not shuffled at all. Beyond that the join shuffles, with hot keys split
+    (:func:`split_join`).
     """
     lookup = settle(lookup)
-    if lookup.count() <= broadcast_rows:
+    if is_small(lookup, broadcast_rows):
         return facts.join(F.broadcast(lookup), list(on), how)
     return split_join(facts, lookup, on, how, spread=spread, hot_rows=hot_rows)
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` was measured to be within the row and byte limits."""
+    fixed = 16 * len(df.columns)
+    texts = [
+        F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.StringType, T.BinaryType))
+    ]
+    # Nested values count with their JSON length, maps and arrays included.
+    texts += [
+        F.coalesce(F.octet_length(F.to_json(f"`{f.name}`")), F.lit(0))
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+    ]
+    width = sum(texts, F.lit(fixed)).cast("bigint")
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return seen["n"] <= rows and (seen["size"] or 0) <= size
+
+
 def split_join(
     facts: DataFrame,
     lookup: DataFrame,

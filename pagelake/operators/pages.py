@@ -17,7 +17,7 @@ from pagelake.functions.jsonpath import (
     json_truthy,
     records,
 )
-from pagelake.operators.joins import lookup_join
+from pagelake.operators.joins import HOT_PAGES, lookup_join
 
 PAGE = "_page"
 POSITION = "_pos"
@@ -109,7 +109,9 @@ def apply_status_policy(pages: DataFrame, skip: Collection[int] = ()) -> DataFra
         .groupBy(*_feed_columns(pages))
         .agg(F.min("page_no").alias("_end"))
     )
-    joined = lookup_join(kept, ends, _feed_columns(pages), "left", spread=["page_no"])
+    joined = lookup_join(
+        kept, ends, _feed_columns(pages), "left", spread=["page_no"], hot_rows=HOT_PAGES
+    )
     return joined.where(F.col("_end").isNull() | (F.col("page_no") < F.col("_end"))).select(
         *pages.columns
     )
@@ -126,10 +128,9 @@ def skipped_feeds(pages: DataFrame, skip: Collection[int]) -> DataFrame:
 
 
 def malformed_pages(pages: DataFrame) -> DataFrame:
-    """Pages that answered 2xx with a body that is no JSON."""
-    return pages.where(
-        F.col("http_status").between(200, 299) & F.try_parse_json("body").isNull()
-    ).drop("body")
+    """Pages that answered 2xx with a body that is no JSON. An empty body is none."""
+    broken = (F.trim("body") != "") & F.try_parse_json("body").isNull()
+    return pages.where(F.col("http_status").between(200, 299) & broken).drop("body")
 
 
 def _feed_columns(pages: DataFrame) -> list[str]:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from pagelake.operators import dependent as C
 from pagelake.operators import pages as P
 from pagelake.operators.joins import lookup_join
-from pagelake.plans.page_queries import LINE_KEY, order_pages
-from pagelake.plans.page_queries import ORDER
+from pagelake.plans.page_queries import LINE_KEY, ORDER, order_pages
 from pagelake.plans.registry import query, table
-from pagelake.sources.landing import land
+from pagelake.session import scratch_dir
+from pagelake.sources.landing import land, pick, store_pages
 
 LINE_ITEM = (
     "id string, amount double, discount double, quantity double, invoice string"
@@ -24,24 +24,27 @@ INVOICE = (
 
 
 def _invoice_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Line items with their order, and the first one and number of each order."""
+    """Line items with their order, and per order their number and which one is embedded."""
+    key = [F.col(k).cast("string") for k in LINE_KEY[:-1]]
+    day = F.unix_date(F.col("l_shipdate").cast("date")).cast("string")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.struct(
-            F.concat_ws("-", *[F.col(k).cast("string") for k in LINE_KEY]).alias("id"),
+            F.concat_ws("-", *key, day).alias("id"),
             F.col("l_extendedprice").alias("amount"),
             F.col("l_discount").alias("discount"),
             F.col("l_quantity").alias("quantity"),
             F.lit(None).cast("string").alias("invoice"),
         ).alias("line"),
     )
+    lines = lines.withColumn("mark", F.xxhash64("line.id"))
     per_order = lines.groupBy("l_orderkey").agg(
-        F.min("line").alias("first"), F.count(F.lit(1)).alias("n")
+        F.min("mark").alias("first"), F.count(F.lit(1)).alias("n")
     )
     return lines, per_order
 
 
-def invoice_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as pages of 100 invoices that embed one line each, and the other lines as
     overflow pages of about 100 lines per invoice.
 
@@ -49,8 +52,10 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     """
     orders = table(spark, sf_dir, "orders")
     lines, per_order = _invoice_lines(spark, sf_dir)
+    dealt = lookup_join(lines, per_order, ["l_orderkey"], spread=["mark"])
+    embedded = dealt.where("mark = first").select("l_orderkey", "line", "n")
     invoice_id = F.concat(F.lit("in_"), F.col("o_orderkey").cast("string"))
-    first = F.filter(F.array("first"), lambda x: x.isNotNull())
+    first = F.filter(F.array("line"), lambda x: x.isNotNull())
     created = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     done = F.col("o_orderstatus") == "F"
     plan = F.concat(F.lit("sub_"), F.col("o_custkey").cast("string"))
@@ -66,21 +71,15 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         ),
     )
     invoices = land(
-        orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"),
+        orders.join(embedded, F.col("o_orderkey") == F.col("l_orderkey"), "left"),
         record=record,
         order=F.col("o_orderkey"),
         page_no=F.floor(F.col("o_orderkey") / 100) + 1,
         source="stripe",
         resource="invoices",
     )
-    rest = lookup_join(
-        lines,
-        per_order.where("n > 1").select("l_orderkey", F.col("first.id").alias("first_id"), "n"),
-        ["l_orderkey"],
-        spread=["line"],
-    ).where("line.id <> first_id")
     overflow = land(
-        rest,
+        dealt.where("mark <> first"),
         record=F.col("line"),
         order=F.col("line.id"),
         feed=F.concat(F.lit("in_"), F.col("l_orderkey").cast("string")),
@@ -89,7 +88,7 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         resource="invoice_line_items",
     )
     asked = overflow.withColumn("request_key", F.create_map(F.lit("invoice_id"), F.col("feed")))
-    return invoices, asked
+    return invoices.unionByName(asked)
 
 
 def _money(value):
@@ -106,8 +105,9 @@ def _money(value):
 )
 def invoice_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue per invoice from embedded and overflow lines."""
-    invoice_rows, overflow = invoice_pages(spark, sf_dir)
-    invoices = P.drop_page(P.unwrap(invoice_rows, "data", INVOICE))
+    pages = store_pages(invoice_pages(spark, sf_dir), scratch_dir(spark, "landing"))
+    invoices = P.drop_page(P.unwrap(pick(pages, resource="invoices"), "data", INVOICE))
+    overflow = pick(pages, resource="invoice_line_items")
     lines = C.invoice_line_items(invoices, overflow, LINE_ITEM)
     revenue = _money(F.col("amount")) * (F.lit(1).cast("decimal(18,2)") - _money(F.col("discount")))
     return lines.groupBy("invoice_id").agg(

@@ -9,12 +9,11 @@ from pagelake.functions import classify as C
 from pagelake.functions import values as V
 from pagelake.functions.text import email_domain
 from pagelake.operators.pages import FILE_ATTACHMENT
-from pagelake.plans.pipeline import Run
+from pagelake.plans.pipeline import Run, run_source, table_of
 from pagelake.plans.registry import query, table
-from pagelake.sources.catalog import SOURCES
-from pagelake.sources.landing import even_pages, land
-from pagelake.plans.pipeline import run_source, table_of
 from pagelake.session import scratch_dir
+from pagelake.sources.catalog import SOURCES
+from pagelake.sources.landing import even_pages, land, store_pages
 
 
 def _thread_index(turn: Column) -> Column:
@@ -233,7 +232,8 @@ def document_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     content = docs.select(
         F.col("doc_id").cast("string").alias("item_id"), F.encode("text", "utf-8").alias("content")
     )
-    return messages.unionByName(attachments).unionByName(items), content
+    pages = messages.unionByName(attachments).unionByName(items)
+    return store_pages(pages, scratch_dir(spark, "landing")), content
 
 
 @query(

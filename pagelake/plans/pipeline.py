@@ -17,6 +17,7 @@ from pagelake.operators.incremental import incremental, skip_stale, take_while_f
 from pagelake.operators.nested import array_columns, child_tables, flatten_structs
 from pagelake.operators.pages import PAGE, apply_status_policy, drop_page, skipped_feeds, unwrap
 from pagelake.operators.sinks import LoadReport, Table
+from pagelake.session import settle
 from pagelake.sources.landing import infer_record, overlay, pick
 from pagelake.specs import Resource, Source
 
@@ -84,6 +85,10 @@ class Run:
             self._increments[name, full] = self._increment(self.source[name], full)
         return self._increments[name, full]
 
+    def hold(self, name: str) -> None:
+        """Write the increment once; what is built from it then reads the written rows."""
+        self._increments[name, False] = settle(self.increment(name))
+
     def _increment(self, resource: Resource, full: bool) -> DataFrame:
         if resource.build is not None:
             return resource.build(self, resource)
@@ -189,10 +194,12 @@ def run_source(
         resource = source[name]
         keys = [snake_case(k) for k in resource.key]
         rows = run.rows(name)
-        if sentinels and resource.sentinel:
-            rows = with_sentinel(rows, keys)
         noted = {"run_id": run_id, "resource": name}
         if child_tables:
+            if run.children(name):
+                # Several tables come from the same records: parse them once.
+                run.hold(name)
+                rows = run.rows(name)
             parents = rows.select(*keys)
             for child, child_rows in run.children(name).items():
                 _write_child(
@@ -202,6 +209,8 @@ def run_source(
                     parents,
                     noted,
                 )
+        if sentinels and resource.sentinel:
+            rows = with_sentinel(rows, keys)
         table = table_of(spark, warehouse, source.name, resource.table_name)
         cursor = CURSOR if CURSOR in rows.columns else None
         reports[name] = table.write(rows, resource.disposition, keys, cursor=cursor, **noted)

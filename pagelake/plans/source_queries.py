@@ -12,9 +12,10 @@ from pagelake.plans.child_queries import invoice_pages
 from pagelake.plans.page_queries import LINE_KEY
 from pagelake.plans.pipeline import Run
 from pagelake.plans.registry import query, table
+from pagelake.session import scratch_dir
 from pagelake.sources.catalog import SOURCES
 from pagelake.sources.catalog.quickbooks import UPDATED, WHOLE, resource_name
-from pagelake.sources.landing import even_pages, land
+from pagelake.sources.landing import even_pages, land, store_pages
 
 
 def envelope(selector: str) -> Callable[[Column], Column]:
@@ -42,6 +43,18 @@ def _land(
     return land(rows, record=record, source=source, resource=resource, **given)
 
 
+def _run(
+    spark: SparkSession,
+    source: str,
+    pages: DataFrame,
+    marks: dict[str, str] | None = None,
+    records: dict[str, str] | None = None,
+) -> Run:
+    """A run over the pages, landed in a folder first as they would be."""
+    landed = store_pages(pages, scratch_dir(spark, "landing"))
+    return Run(spark, SOURCES[source], landed, marks, records)
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -117,7 +130,7 @@ def source_agree_com(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     pages = _union([agreements, contacts, invoices])
-    run = Run(spark, SOURCES["agree_com"], pages, {"contacts": "2024-01-01T00:00:05Z"})
+    run = _run(spark, "agree_com", pages, {"contacts": "2024-01-01T00:00:05Z"})
     none = F.lit(None)
     return _union(
         [
@@ -193,9 +206,7 @@ def source_apollo_io(spark: SparkSession, sf_dir: str) -> DataFrame:
         source="apollo_io",
         resource=F.get(names, which),
     )
-    run = Run(
-        spark,
-        SOURCES["apollo_io"],
+    run = _run(spark, "apollo_io",
         contacts.unionByName(others),
         {"contacts": "2024-01-01T00:01:40Z"},
         dict.fromkeys(_APOLLO, "id string, name string"),
@@ -265,7 +276,7 @@ def source_attio(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ]
     )
-    run = Run(spark, SOURCES["attio"], pages)
+    run = _run(spark, "attio", pages)
     wanted = [
         ("companies", "record_id", F.col("categories")),
         ("people", "record_id", F.col("job_title")),
@@ -432,9 +443,7 @@ def source_github(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope=lambda items: F.get(items, 0),
     ).withColumn("request_key", key_of)
     pages = _union([organizations, members, repositories, pulls, commits, line_commits, stats])
-    run = Run(
-        spark,
-        SOURCES["github"],
+    run = _run(spark, "github",
         pages,
         {
             "repositories": "2024-01-01T00:00:00Z",
@@ -530,9 +539,7 @@ def source_hubspot(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     floor = "2024-01-01T00:05:00Z"
-    run = Run(
-        spark,
-        SOURCES["hubspot"],
+    run = _run(spark, "hubspot",
         _union([objects, engagements, pipelines]),
         {"companies": floor, "contacts": floor, "deals": floor, "engagements": "999"},
     )
@@ -583,7 +590,7 @@ def source_loxo(spark: SparkSession, sf_dir: str) -> DataFrame:
             for n, (t, key, name) in feeds.items()
         ]
     )
-    run = Run(spark, SOURCES["loxo"], pages)
+    run = _run(spark, "loxo", pages)
     return _union([run.rows(n).select(F.lit(n).alias("resource"), "id", "name") for n in feeds])
 
 
@@ -652,9 +659,7 @@ def source_monday_crm(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land(table(spark, sf_dir, t), "monday_crm", n, key, 50, F.struct(_text(key).alias("id")))
         for n, (t, key) in flat.items()
     ]
-    run = Run(
-        spark,
-        SOURCES["monday_crm"],
+    run = _run(spark, "monday_crm",
         _union([boards, items, *others]),
         {"items": "2024-01-01T00:20:00Z"},
     )
@@ -755,9 +760,7 @@ def source_notion(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_text("o_orderkey").alias("id"), F.col("o_orderpriority").alias("discussion_id")),
         feed=F.col("o_custkey"),
     ).withColumn("request_key", F.create_map(F.lit("block_id"), F.col("feed")))
-    run = Run(
-        spark,
-        SOURCES["notion"],
+    run = _run(spark, "notion",
         _union([users, databases, pages, blocks, comments]),
         {"pages": "2024-01-01T00:00:03Z", "blocks": "2024-01-01T00:01:00Z"},
     )
@@ -835,9 +838,7 @@ def source_pipedrive(spark: SparkSession, sf_dir: str) -> DataFrame:
         source="pipedrive",
         resource=F.get(names, F.col("feed").cast("int")),
     )
-    run = Run(
-        spark,
-        SOURCES["pipedrive"],
+    run = _run(spark, "pipedrive",
         _union([persons, users, others]),
         {"persons": "2024-01-01T00:05:00Z", "users": "2024-01-01 00:00:10"},
     )
@@ -894,9 +895,7 @@ def source_quickbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = (
         "Id string, MetaData struct<LastUpdatedTime:string>, CurrencyRef struct<value:string>"
     )
-    run = Run(
-        spark,
-        SOURCES["quickbooks"],
+    run = _run(spark, "quickbooks",
         pages,
         dict.fromkeys(_BOOKS[:18], "1995-06-01T00:00:00Z"),
         dict.fromkeys(_BOOKS, record),
@@ -927,7 +926,8 @@ def source_quickbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'invoices', 'in_' || o_orderkey, o_orderdate, 'sub_' || o_custkey FROM fresh
     UNION ALL
     SELECT 'invoice_line_items',
-           concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, strftime(l_shipdate, '%Y%m%d')), NULL,
+           concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+                     date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))), NULL,
            'in_' || l_orderkey
     FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM fresh)
     """
@@ -950,13 +950,10 @@ def source_stripe(spark: SparkSession, sf_dir: str) -> DataFrame:
         source="stripe",
         resource=F.col("feed"),
     )
-    invoices, overflow = invoice_pages(spark, sf_dir)
     mark = "1996-01-01T00:00:00Z"
     names = ["charges", "customers", "refunds", "invoices"]
-    run = Run(
-        spark,
-        SOURCES["stripe"],
-        _union([objects, invoices, overflow]),
+    run = _run(spark, "stripe",
+        _union([objects, invoice_pages(spark, sf_dir)]),
         dict.fromkeys(names, mark),
     )
     none = F.lit(None)
@@ -969,11 +966,9 @@ def source_stripe(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for n in names
     ]
-    ids = F.split("id", "-")
-    day = F.concat_ws("", F.slice(ids, 5, 3))
     lines = run.rows("invoice_line_items").select(
         F.lit("invoice_line_items").alias("resource"),
-        F.concat_ws("-", F.slice(ids, 1, 4), F.substring(day, 1, 8)).alias("id"),
+        "id",
         none.cast("timestamp_ntz").alias("created"),
         F.col("invoice_id").alias("detail"),
     )

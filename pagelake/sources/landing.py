@@ -59,6 +59,16 @@ def write_pages(pages: DataFrame, path: str) -> None:
     pages.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
+def store_pages(pages: DataFrame, path: str) -> DataFrame:
+    """Write pages to a landing folder and read them from there.
+
+    Operators that pass over the pages more than once then read files, pruned by
+    resource, instead of making the pages again.
+    """
+    write_pages(pages, path)
+    return read_pages(pages.sparkSession, path)
+
+
 def make_pages(pages: DataFrame, **fixed: object) -> DataFrame:
     """Rows in the landing shape: given columns, fixed values, and defaults for the rest."""
     defaults = {"run_id": "run-1", "feed": "0", "page_no": 1, "http_status": 200}

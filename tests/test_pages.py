@@ -80,9 +80,14 @@ def test_status_policy(landed, spark):
         P.apply_status_policy(df).count()
 
 
-def test_malformed(landed):
-    df = landed(page("s", "r", "{oops"), page("s", "r", {}, no=2))
+@pytest.mark.parametrize("selector", ["data", "", "data.boards[*].items"])
+@pytest.mark.parametrize("body", ["{oops", '{"data":[{"id":1},{"id":'])
+def test_malformed(landed, selector, body):
+    df = landed(page("s", "r", body), page("s", "r", {}, no=2), page("s", "r", "", no=3), page("s", "r", None, no=4))
     assert ids(P.malformed_pages(df), "page_no") == [(1,)]
+    with pytest.raises(Exception, match="page body is no JSON"):
+        P.unwrap(df, selector, "id bigint").collect()
+    assert P.unwrap(df.where("page_no > 1"), selector, "id bigint").count() <= 1
 
 
 def chain(landed, family, bodies, path="data", **more):

@@ -120,6 +120,12 @@ def test_cursors(spark):
     assert I.high_water(df, "c").first()["high_water"] == "c"
 
 
+def test_late_rows_are_counted(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], "id int, c string")
+    fresh, watch = I.skip_stale_counted(df, "c", "a")
+    assert ids(fresh, "id") == [(1,)] and watch.get == {"late": 2, "fresh": 1}
+
+
 def feed_pages(landed):
     return landed(
         page("s", "r", {"data": [{"id": 1, "u": "9"}, {"id": 2, "u": "8"}]}, feed="a", no=1),
@@ -159,6 +165,13 @@ def test_lookup_join_matches_plain_join(spark, how, limits):
     assert ids(got, "id") == ids(want, "id") and got.exceptAll(want).count() == 0
 
 
+def test_a_wide_lookup_is_not_small(spark):
+    df = spark.createDataFrame([(1, "x" * 1000, [("y" * 1000,)])], "k int, t string, a array<struct<s:string>>")
+    assert joins.is_small(df) and not joins.is_small(df, rows=0)
+    assert joins.is_small(df, size=2200) and not joins.is_small(df, size=1900)
+    assert joins.is_small(df.limit(0), rows=0, size=0)
+
+
 def test_hot_keys_are_split(spark):
     facts = spark.range(90).selectExpr("id", "case when id < 60 then 1 else id end AS k")
     hot = joins.hot_keys(facts, ["k"], 25)
