@@ -88,10 +88,20 @@ def _walk(value: Column, steps: list[tuple[str, bool]], leaf: T.DataType) -> Col
             empty = F.from_json(F.lit("[]"), leaf)
             # flatten() of a list holding a null list is null, so those become empty.
             inner = F.transform(value, lambda x: F.coalesce(_walk(x, rest, leaf), empty))
-            return F.flatten(F.coalesce(inner, F.array()))
+            return F.flatten(inner)
     return value
 
 
+def _has_gap(value: Column, steps: list[tuple[str, bool]]) -> Column:
+    """True where some array on the way to the records is null."""
+    for i, (name, many) in enumerate(steps):
+        value = value[name]
+        if many:
+            rest = steps[i + 1 :]
+            return F.coalesce(F.exists(value, lambda x: _has_gap(x, rest)), F.lit(True))
+    return value.isNull()
+
+
 def records(body: Column, selector: str, record: T.DataType) -> Column:
     """Array of the records an envelope holds.
 
@@ -105,23 +115,30 @@ def records(body: Column, selector: str, record: T.DataType) -> Column:
     listed = T.ArrayType(record)
     steps = _selector_steps(selector)
     raw = record_texts(body, selector)
-    one_by_one = F.transform(
-        F.filter(raw, _starts_object), lambda x: F.from_json(x, record)
-    )
-    if not steps:
-        found = F.when(
-            _starts_object(body) | _starts_array(body), F.from_json(body, listed)
-        )
-    else:
-        found = _walk(F.from_json(body, _nest(steps, listed)), steps, listed)
-    if any(many for _, many in steps):
-        # A wildcard walk turns a failed inner parse into an empty list, so compare sizes.
-        one_by_one = F.when(F.size(raw) > F.size(found), one_by_one)
-        found, one_by_one = one_by_one, F.when(F.size(found) > 0, found)
+    one_by_one = F.transform(F.filter(raw, _starts_object), lambda x: F.from_json(x, record))
     broken = (F.trim(body) != "") & F.try_parse_json(body).isNull()
     message = F.concat(F.lit("page body is no JSON: "), F.substring(body, 1, 80))
     failed = F.when(broken, F.raise_error(message).cast(listed))
-    return F.filter(F.coalesce(found, one_by_one, failed), lambda x: x.isNotNull())
+    if not steps:
+        found = F.when(_starts_object(body) | _starts_array(body), F.from_json(body, listed))
+        found = F.coalesce(found, one_by_one, failed)
+    elif not any(many for _, many in steps):
+        found = F.coalesce(
+            _walk(F.from_json(body, _nest(steps, listed)), steps, listed), one_by_one, failed
+        )
+    else:
+
+        def choose(parsed: Column) -> Column:
+            typed = _walk(parsed, steps, listed)
+            # Only a page with a gap can have lost records to a failed inner parse.
+            better = F.coalesce(F.size(raw) > F.coalesce(F.size(typed), F.lit(0)), F.lit(False))
+            rescued = F.when(better, one_by_one).otherwise(F.coalesce(typed, failed))
+            return F.when(_has_gap(parsed, steps), rescued).otherwise(typed)
+
+        # As a lambda, so that the body is parsed once and not once per use.
+        parsed = F.from_json(body, _nest(steps, listed))
+        found = F.get(F.transform(F.array(parsed), choose), 0)
+    return F.filter(found, lambda x: x.isNotNull())
 
 
 def record_texts(body: Column, selector: str) -> Column:

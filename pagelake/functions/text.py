@@ -45,7 +45,10 @@ def casefold(value: Column) -> Column:
     folds = _folds()
     single = [c for c, f in folds.items() if len(f) == 1 and f.lower() == f]
     rare = [c for c in folds if c not in single and c != "ß"]
-    mapping = F.create_map(*[F.lit(x) for kv in folds.items() for x in kv])
+    # One literal that Spark folds to a map, instead of hundreds of plan nodes.
+    mapping = F.str_to_map(
+        F.lit(",".join(f"{c}={f}" for c, f in folds.items())), F.lit(","), F.lit("=")
+    )
     by_char = F.transform(
         F.split(value, ""), lambda c: F.coalesce(F.try_element_at(mapping, c), F.lower(c))
     )

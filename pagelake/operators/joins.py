@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,29 +35,27 @@ def lookup_join(
     facts are not shuffled at all. Beyond that the join shuffles, with hot keys split
     (:func:`split_join`).
     """
-    lookup = settle(lookup)
-    if is_small(lookup, broadcast_rows):
+    watch, measures = _size_watch(lookup)
+    lookup = settle(lookup.observe(watch, *measures))
+    seen = watch.get
+    if seen["n"] <= broadcast_rows and (seen["size"] or 0) <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), list(on), how)
     return split_join(facts, lookup, on, how, spread=spread, hot_rows=hot_rows)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """True if ``df`` was measured to be within the row and byte limits."""
-    fixed = 16 * len(df.columns)
-    texts = [
-        F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-    ]
-    # Nested values count with their JSON length, maps and arrays included.
-    texts += [
-        F.coalesce(F.octet_length(F.to_json(f"`{f.name}`")), F.lit(0))
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-    ]
-    width = sum(texts, F.lit(fixed)).cast("bigint")
-    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
-    return seen["n"] <= rows and (seen["size"] or 0) <= size
+def _size_watch(df: DataFrame) -> tuple[Observation, list[Column]]:
+    """Measures of the rows and bytes of ``df``, taken while it is written.
+
+    Nested values count with their JSON length.
+    """
+    width = F.lit(16 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            width += F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width += F.coalesce(F.octet_length(value), F.lit(0))
+    return Observation(), [F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")]
 
 
 def split_join(

@@ -201,19 +201,21 @@ class Table:
         seen = watch.get
         merged = _merge_schemas(_schema_of(records), schema) if records else schema
         version = version or _next(records)
-        record = (
-            version,
-            run.get("resource"),
-            run.get("run_id"),
-            run.get("batch_id"),
-            disposition,
-            seen["rows"],
-            seen.get("high_water"),
-            added,
-            removed,
-            merged.json(),
-        )
-        self.spark.createDataFrame([record], LOG_SCHEMA).coalesce(1).write.mode("append").json(
+        record = {
+            "version": F.lit(version),
+            "resource": F.lit(run.get("resource")),
+            "run_id": F.lit(run.get("run_id")),
+            "batch_id": F.lit(run.get("batch_id")),
+            "disposition": F.lit(disposition),
+            "rows": F.lit(seen["rows"]),
+            "high_water": F.lit(seen.get("high_water")),
+            "added": F.array(*map(F.lit, added)),
+            "removed": F.array(*map(F.lit, removed)),
+            "schema": F.lit(merged.json()),
+        }
+        fields = T.StructType.fromDDL(LOG_SCHEMA).fields
+        row = [record[f.name].cast(f.dataType).alias(f.name) for f in fields]
+        self.spark.range(1, numPartitions=1).select(*row).write.mode("append").json(
             f"{self.root}/commits"
         )
         return LoadReport(version, disposition, seen["rows"], seen.get("high_water"))

@@ -165,11 +165,17 @@ def test_lookup_join_matches_plain_join(spark, how, limits):
     assert ids(got, "id") == ids(want, "id") and got.exceptAll(want).count() == 0
 
 
-def test_a_wide_lookup_is_not_small(spark):
-    df = spark.createDataFrame([(1, "x" * 1000, [("y" * 1000,)])], "k int, t string, a array<struct<s:string>>")
-    assert joins.is_small(df) and not joins.is_small(df, rows=0)
-    assert joins.is_small(df, size=2200) and not joins.is_small(df, size=1900)
-    assert joins.is_small(df.limit(0), rows=0, size=0)
+def test_a_wide_lookup_is_not_broadcast(spark, monkeypatch):
+    facts = spark.range(20).selectExpr("id", "id % 4 AS k")
+    wide = spark.createDataFrame([(1, "x" * 1000, [("y" * 1000,)])], "k bigint, t string, a array<struct<s:string>>")
+
+    def plan(limit):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(joins, "split_join", lambda *a, **k: "split")
+        return joins.lookup_join(facts, wide, ["k"])
+
+    assert plan(1900) == "split"
+    assert plan(2500).count() == 5
 
 
 def test_hot_keys_are_split(spark):
