@@ -15,6 +15,7 @@ from pagelake.functions.jsonpath import (
     json_field,
     json_size,
     json_truthy,
+    record_texts,
     records,
 )
 from pagelake.operators.joins import HOT_PAGES, lookup_join
@@ -232,9 +233,27 @@ CHAIN_RULES: dict[str, ChainRule] = {
 }
 
 
-def page_chain_audit(pages: DataFrame, family: str, path: str = "data") -> DataFrame:
+def holds_old_record(
+    path: str, cursor: str, start: str, *, inclusive: bool = False, missing_is_old: bool = True
+) -> Column:
+    """True for a page with a record at (``inclusive``: below) the mark, where reading a
+    newest-first feed stops on purpose."""
+    value = lambda x: F.get_json_object(x, f"$.{cursor}")
+    old = lambda v: v < F.lit(start) if inclusive else v <= F.lit(start)
+    found = F.exists(
+        record_texts(F.col("body"), path), lambda x: F.coalesce(old(value(x)), F.lit(missing_is_old))
+    )
+    return F.coalesce(found, F.lit(False))
+
+
+def page_chain_audit(
+    pages: DataFrame, family: str, path: str = "data", *, stopped: Column | None = None
+) -> DataFrame:
     """Breaks in the page sequence of each feed.
 
+    ``stopped`` marks pages after which the feed was left on purpose, whatever they say
+    (:func:`holds_old_record`).
+
     A page says about its own place that it is there, and about the next place that it
     should or should not be there. Grouping by (feed, place) brings the two together,
     so one shuffle of narrow rows does it and a feed with very many pages is spread
@@ -247,6 +266,8 @@ def page_chain_audit(pages: DataFrame, family: str, path: str = "data") -> DataF
     body = F.col("body")
     none = F.lit(None).cast("string")
     expected = rule.next_key(body, path) if rule.next_key else none
+    more = rule.more(body, path)
+    more = more & ~stopped if stopped is not None else more
     has_param = rule.request_param and "request_key" in pages.columns
     sent = F.try_element_at("request_key", F.lit(rule.request_param)) if has_param else none
     notes = F.array(
@@ -260,7 +281,7 @@ def page_chain_audit(pages: DataFrame, family: str, path: str = "data") -> DataF
         F.struct(
             (F.col("page_no") + 1).alias("page_no"),
             F.lit(0).alias("here"),
-            rule.more(body, path).alias("told_more"),
+            more.alias("told_more"),
             none.alias("sent"),
             expected.alias("expected"),
         ),

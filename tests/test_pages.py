@@ -151,6 +151,15 @@ def test_chain_problems(landed):
     assert P.page_chain_audit(linked, "link_header").count() == 0
 
 
+def test_a_feed_left_at_the_mark_is_whole(landed):
+    full = {"contacts": [{"id": str(i), "updated_at": "5"} for i in range(99)] + [{"id": "z", "updated_at": "3"}]}
+    df = landed(page("s", "r", full))
+    assert ids(P.page_chain_audit(df, "page_of_100", "contacts"), "problem") == [("missing_page",)]
+    for start, inclusive, count in [("4", True, 0), ("3", True, 1), ("3", False, 0), ("2", False, 1)]:
+        left = P.holds_old_record("contacts", "updated_at", start, inclusive=inclusive)
+        assert P.page_chain_audit(df, "page_of_100", "contacts", stopped=left).count() == count
+
+
 def test_record_predicates(spark):
     repos = spark.createDataFrame(
         [("a", "2024", 5), ("b", None, 5), ("c", "2024", 0), ("d", "2024", None), ("e", "", 1)],
