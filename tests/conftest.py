@@ -3,8 +3,10 @@ from __future__ import annotations
 import json
 import tempfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagelake.session import tune
 from pagelake.sources.landing import PAGES
@@ -13,9 +15,10 @@ from pagelake.sources.landing import PAGES
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("pagelake-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pagelake-test-"))
@@ -34,7 +37,14 @@ def page(source, resource, body, *, feed="0", no=1, status=200, run="run-1", lin
 @pytest.fixture
 def landed(spark):
     def make(*pages):
-        return spark.createDataFrame(list(pages), PAGES)
+        names = [f.name for f in PAGES.fields]
+        rows = [
+            {n: list(v.items()) if isinstance(v, dict) else v for n, v in zip(names, p, strict=True)}
+            for p in map(tuple, pages)
+        ]
+        # As an Arrow table the rows go to Spark once, without Python workers.
+        arrow = pa.Table.from_pylist(rows, schema=to_arrow_schema(PAGES))
+        return spark.createDataFrame(arrow, schema=PAGES)
 
     return make
 
