@@ -19,7 +19,7 @@ from pagelake.operators.pages import PAGE, apply_status_policy, drop_page, skipp
 from pagelake.operators.sinks import LoadReport, Table
 from pagelake.session import settle
 from pagelake.sources.landing import infer_record, overlay, pick
-from pagelake.specs import Resource, Source
+from pagelake.specs import Parent, Resource, Source
 
 CURSOR = "_cursor"
 
@@ -49,6 +49,7 @@ class Run:
         self.records = dict(records or {})
         self.options = options
         self._increments: dict[tuple[str, bool], DataFrame] = {}
+        self._crawled: dict[tuple, DataFrame] = {}
 
     def start(self, resource: Resource) -> object | None:
         """Mark of a resource in the cursor's own type, or its floor."""
@@ -98,8 +99,7 @@ class Run:
         carry: list[str] = []
         if resource.parent is not None:
             parent = resource.parent
-            parents = self.increment(parent.resource, full=parent.full)
-            parents = parents.transform(parent.where) if parent.where else parents
+            parents = self._targets(parent) if parent.full else self.increment(parent.resource)
             pages = child_pages(parents, pages, parent.link, **parent.stamped)
             carry = list(parent.stamped)
         for entry in resource.stamp_request:
@@ -130,6 +130,17 @@ class Run:
             )
         return rows.withColumn(CURSOR, F.col(cursor.path)) if cursor is not None else rows
 
+    def _targets(self, parent: Parent) -> DataFrame:
+        """Keys of a parent read in full. Several resources crawl the same ones, so they
+        are written once."""
+        wanted = sorted({*parent.link.values(), *parent.stamped.values()})
+        known = (parent.resource, parent.where, *wanted)
+        if known not in self._crawled:
+            rows = self.increment(parent.resource, full=True)
+            rows = rows.transform(parent.where) if parent.where else rows
+            self._crawled[known] = settle(rows.select(*wanted).distinct())
+        return self._crawled[known]
+
     def rows(self, name: str) -> DataFrame:
         """The resource's table rows: flattened, in snake case, with the declared columns.
 

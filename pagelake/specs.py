@@ -34,7 +34,7 @@ class Parent:
 
     ``link`` maps entries of the child's request key to parent columns; ``stamped``
     names parent columns to put on each child record. ``full`` takes the parent without
-    its cursor, after ``where``.
+    its cursor, after ``where``; the columns are top-level ones then.
     """
 
     resource: str

@@ -178,6 +178,26 @@ def test_a_wide_lookup_is_not_broadcast(spark, monkeypatch):
     assert plan(2500).count() == 5
 
 
+@pytest.mark.parametrize("broadcast_rows", [1000, -1])
+def test_empty_lookups(spark, broadcast_rows):
+    facts = spark.range(20).selectExpr("id", "id % 4 AS k")
+    typed = spark.createDataFrame([], "k bigint, name string")
+    filtered = facts.where("id < 0").selectExpr("k", "'n' AS name")
+    joined = facts.join(filtered, "k").groupBy("k").agg(F.max("name").alias("name"))
+    for lookup in [typed, filtered, joined, filtered.limit(0)]:
+        for how, n in [("inner", 0), ("left", 20), ("left_semi", 0), ("left_anti", 20)]:
+            assert joins.lookup_join(facts, lookup, ["k"], how, broadcast_rows=broadcast_rows).count() == n
+
+
+def test_empty_writes(spark, table):
+    empty = spark.createDataFrame([], "id int, c string")
+    lost = empty.join(empty.select("id").where("id = 5"), "id")
+    for rows in [empty, lost, lost.groupBy("id").agg(F.max("c").alias("c"))]:
+        assert table.append(rows, cursor="c").rows == 0
+        assert table.merge(rows, ["id"], cursor="c").rows == 0
+    assert table.read().count() == 0
+
+
 def test_hot_keys_are_split(spark):
     facts = spark.range(90).selectExpr("id", "case when id < 60 then 1 else id end AS k")
     hot = joins.hot_keys(facts, ["k"], 25)
