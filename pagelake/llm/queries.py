@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pagelake.llm.decontaminate import leaks
 from pagelake.llm.exact_dedup import exact_dedup
+from pagelake.llm.language_id import held_out, identify, learn
 from pagelake.llm.stage import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +31,48 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM d
 """
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learnt from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    hidden = held_out(F.col("doc_id"))
+    model = learn(docs, ~hidden)
+    return identify(docs, model).select("doc_id", hidden.alias("held_out"), "lang_pred", "score", "n_spans", "languages")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document holds."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP8_SQL = """
+WITH words AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM benchmark
+), doc_words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents
+), sized AS (
+  SELECT row_number() OVER () AS item, item_id, least(5, len(w)) AS k, w FROM words WHERE len(w) > 0
+), item_shingles AS (
+  SELECT DISTINCT item, item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+  FROM sized, unnest(range(1, len(w) - k + 2)) AS t(i)
+), item_sizes AS (
+  SELECT item, count(*) AS n_item FROM item_shingles GROUP BY item
+), sizes AS (SELECT DISTINCT k FROM sized
+), doc_shingles AS (
+  SELECT DISTINCT row_no, doc_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+  FROM (SELECT row_number() OVER () AS row_no, * FROM doc_words), sizes, unnest(range(1, len(w) - k + 2)) AS t(i)
+)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+FROM doc_shingles JOIN item_shingles USING (k, s) JOIN item_sizes USING (item)
+GROUP BY row_no, doc_id, item, item_id, n_item HAVING count(*) >= 0.8 * n_item - 1e-9
+"""
+
 QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_language_id": op6_language_id,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op8_decontaminate": OP8_SQL,
 }
