@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pagelake.llm.decontaminate import leaks
 from pagelake.llm.exact_dedup import exact_dedup
 from pagelake.llm.language_id import held_out, identify, learn
+from pagelake.llm.mixing import mixing_weights
+from pagelake.llm.secrets import scan_secrets
 from pagelake.llm.stage import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,11 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM d
 """
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in each document, live-looking ones told from examples."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document, learnt from four fifths of them."""
     docs = table(spark, sf_dir, "documents")
@@ -66,10 +73,17 @@ FROM doc_shingles JOIN item_shingles USING (k, s) JOIN item_sizes USING (item)
 GROUP BY row_no, doc_id, item, item_id, n_item HAVING count(*) >= 0.8 * n_item - 1e-9
 """
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calibrated probability of each document, and whether it is drawn."""
+    return mixing_weights(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_secrets": op3_secrets,
     "op6_language_id": op6_language_id,
     "op8_decontaminate": op8_decontaminate,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
