@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelake.llm import language_id, quality
 from pagelake.llm.decontaminate import leaks
 from pagelake.llm.exact_dedup import exact_dedup
-from pagelake.llm.language_id import held_out, identify, learn
+from pagelake.llm.language_id import held_out
 from pagelake.llm.mixing import mixing_weights
 from pagelake.llm.secrets import scan_secrets
 from pagelake.llm.stage import table
@@ -42,8 +43,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document, learnt from four fifths of them."""
     docs = table(spark, sf_dir, "documents")
     hidden = held_out(F.col("doc_id"))
-    model = learn(docs, ~hidden)
-    return identify(docs, model).select("doc_id", hidden.alias("held_out"), "lang_pred", "score", "n_spans", "languages")
+    model = language_id.learn(docs, ~hidden)
+    return language_id.identify(docs, model).select("doc_id", hidden.alias("held_out"), "lang_pred", "score", "n_spans", "languages")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of each document, learnt from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    hidden = held_out(F.col("doc_id"), folds=3, fold=1)
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), ~hidden)
+    return quality.classify(docs, model).select("doc_id", hidden.alias("held_out"), "score", "predicted")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +91,7 @@ QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_secrets": op3_secrets,
     "op6_language_id": op6_language_id,
+    "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op10_mixing": op10_mixing,
 }
