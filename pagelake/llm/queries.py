@@ -13,7 +13,8 @@ from pagelake.llm.exact_dedup import exact_dedup
 from pagelake.llm.language_id import held_out
 from pagelake.llm.mixing import mixing_weights
 from pagelake.llm.secrets import scan_secrets
-from pagelake.llm.stage import table
+from pagelake.llm.stage import table, written
+from pagelake.llm.warc import audit, build_tree, manifest, record
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,46 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the archive of all pages, and whether a second replica holds it unharmed.
+
+    The second replica is the first with one character changed in each 101st page.
+    """
+    pages = table(spark, sf_dir, "pages")
+    middle = (F.length("html") / 2 + 1).cast("int")
+    damaged = F.when(F.col("page_id") % 101 == 7, F.overlay("html", F.lit("~"), middle, F.lit(1))).otherwise(F.col("html"))
+    replica = record(F.col("page_id"), F.col("url"), damaged)
+    records = written(manifest(pages, {"replica": replica}), "warc-manifest")
+    found = audit(build_tree(records), build_tree(records, "replica"))
+    hurt = found.select(F.col("place").alias("record_no"), F.lit(True).alias("corrupt"))
+    return (
+        records.join(hurt, "record_no", "left")
+        .na.fill(False, ["corrupt"])
+        .select("page_id", "record_no", F.col("offset").alias("start_byte"), "length", F.col("digest").alias("record_sha256"), "corrupt")
+    )
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
+), two AS (
+  SELECT page_id, url, html, CASE WHEN page_id % 101 = 7 AND html <> ''
+    THEN html[1 : length(html) // 2] || '~' || html[length(html) // 2 + 2 :] ELSE html END AS copy FROM p
+), r AS (
+  SELECT page_id,
+    concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', page_id, '>', chr(13), chr(10),
+      'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Type: text/html', chr(13), chr(10)) AS head, html, copy FROM two
+), b AS (
+  SELECT page_id, concat(head, 'Content-Length: ', strlen(html), chr(13), chr(10), chr(13), chr(10), html, chr(13), chr(10), chr(13), chr(10)) AS rec,
+    concat(head, 'Content-Length: ', strlen(copy), chr(13), chr(10), chr(13), chr(10), copy, chr(13), chr(10), chr(13), chr(10)) AS other FROM r
+)
+SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS record_no,
+  CAST(coalesce(sum(strlen(rec)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_byte,
+  CAST(strlen(rec) AS BIGINT) AS length, sha256(rec) AS record_sha256, rec <> other AS corrupt
+FROM b
+"""
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document, learnt from four fifths of them."""
     docs = table(spark, sf_dir, "documents")
@@ -90,6 +131,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_secrets": op3_secrets,
+    "op5_warc_fixity": op5_warc_fixity,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
@@ -98,5 +140,6 @@ QUERIES: dict[str, Run] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op5_warc_fixity": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
 }
