@@ -11,6 +11,7 @@ from pagelake.llm import language_id, quality
 from pagelake.llm.decontaminate import leaks
 from pagelake.llm.exact_dedup import exact_dedup
 from pagelake.llm.language_id import held_out
+from pagelake.llm.line_dedup import dedup_lines
 from pagelake.llm.mixing import mixing_weights
 from pagelake.llm.secrets import scan_secrets
 from pagelake.llm.stage import table, written
@@ -40,6 +41,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the lines of recurring templates."""
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record of the archive of all pages, and whether a second replica holds it unharmed.
 
@@ -131,6 +139,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_secrets": op3_secrets,
+    "op4_line_dedup": op4_line_dedup,
     "op5_warc_fixity": op5_warc_fixity,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
