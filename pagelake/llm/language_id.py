@@ -16,7 +16,8 @@ Defined results: null texts and texts without a letter are ``und`` with score 0;
 alphabetically first language; words of a script that no language uses count for none, and a text
 of only such words is ``und``; without any training row everything is ``und``; languages are the
 non-null ``lang`` values of the training rows, whatever they are; an empty table gives an empty
-result; columns beyond doc_id, text and lang are ignored.
+result; columns beyond doc_id, text and lang are ignored or passed on, and names that begin with
+``_lang_`` are the operator's own.
 """
 
 from __future__ import annotations
@@ -157,8 +158,8 @@ def _add_up(table: pa.Table) -> pa.Table:
 
 def learn(docs: DataFrame, training: Column, settings: Settings = Settings()) -> Model:
     """Fit on a bounded sample of the labelled rows for which ``training`` holds."""
-    labelled = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    known = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return Model((), np.zeros((SLOTS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
@@ -166,7 +167,7 @@ def learn(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
     for r in counts:
         share = F.when(F.col("lang") == r["lang"], settings.sample_a_language / r["n"]).otherwise(share)
     wide = "lang string, grams binary, scripts binary"
-    per_task = labelled.where(unit < share).select("lang", "text").mapInArrow(_count, wide)
+    per_task = known.where(unit < share).select("lang", "text").mapInArrow(_count, wide)
     summed = {r["lang"]: r for r in per_task.groupBy("lang").applyInArrow(_add_up, wide).collect()}
     languages = tuple(sorted(summed))
     grams = np.stack([np.frombuffer(summed[x]["grams"], np.int64) for x in languages], 1).astype(np.float64)
@@ -242,7 +243,7 @@ def spans_of(words: Words, path: np.ndarray, languages: tuple[str, ...]) -> list
 
 
 def _predict(model: Model, settings: Settings):
-    columns = ["lang_pred", "score", "n_spans", "languages"]
+    columns = ["_lang_pred", "_lang_score", "_lang_spans", "_lang_count"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], dtype=object)
@@ -275,24 +276,30 @@ def _predict(model: Model, settings: Settings):
     return predict
 
 
-def identify(docs: DataFrame, model: Model, settings: Settings = Settings(), *, keep_text: bool = False) -> DataFrame:
-    """doc_id (or all columns of ``docs`` with ``keep_text``), lang_pred, score, n_spans, languages.
-
-    ``n_spans`` counts the runs of one language, ``languages`` those that any word got.
-    """
-    kept = docs.columns if keep_text else ["doc_id", "text"]
-    added = "lang_pred string, score double, n_spans long, languages long"
+def labelled(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with _lang_pred, _lang_score, _lang_spans and _lang_count."""
     has_letter = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
-    chosen = docs.select(*kept).withColumn("_letter", has_letter)
+    chosen = docs.withColumn("_lang_letter", has_letter)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields)
+    added = "_lang_pred string, _lang_score double, _lang_spans long, _lang_count long"
     found = chosen.mapInArrow(_predict(model, settings), f"{fields}, {added}")
-    found = found.withColumns(
+    return found.withColumns(
         {
-            "lang_pred": F.when(F.col("_letter"), F.col("lang_pred")).otherwise("und"),
-            "score": F.when(F.col("_letter"), F.col("score")).otherwise(0.0),
+            "_lang_pred": F.when(F.col("_lang_letter"), F.col("_lang_pred")).otherwise("und"),
+            "_lang_score": F.when(F.col("_lang_letter"), F.col("_lang_score")).otherwise(0.0),
         }
-    ).drop("_letter")
-    return found if keep_text else found.drop("text")
+    ).drop("_lang_letter")
+
+
+def identify(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, lang_pred, score, n_spans (runs of one language), languages (that any word got)."""
+    shown = {"_lang_pred": "lang_pred", "_lang_score": "score", "_lang_spans": "n_spans", "_lang_count": "languages"}
+    return labelled(docs.select("doc_id", "text"), model, settings).drop("text").withColumnsRenamed(shown)
+
+
+def in_a_language(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` without those of no learned language (``und``)."""
+    return labelled(docs, model, settings).where("_lang_pred <> 'und'").select(docs.columns)
 
 
 def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:

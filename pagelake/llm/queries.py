@@ -13,6 +13,7 @@ from pagelake.llm.exact_dedup import exact_dedup
 from pagelake.llm.language_id import held_out
 from pagelake.llm.line_dedup import dedup_lines
 from pagelake.llm.mixing import mixing_weights
+from pagelake.llm.near_dedup import near_duplicates
 from pagelake.llm.secrets import scan_secrets
 from pagelake.llm.stage import table, written
 from pagelake.llm.warc import audit, build_tree, manifest, record
@@ -131,6 +132,12 @@ FROM doc_shingles JOIN item_shingles USING (k, s) JOIN item_sizes USING (item)
 GROUP BY row_no, doc_id, item, item_id, n_item HAVING count(*) >= 0.8 * n_item - 1e-9
 """
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of each document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calibrated probability of each document, and whether it is drawn."""
     return mixing_weights(table(spark, sf_dir, "documents"))
@@ -144,6 +151,7 @@ QUERIES: dict[str, Run] = {
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,
 }
 
