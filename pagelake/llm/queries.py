@@ -16,6 +16,7 @@ from pagelake.llm.mixing import mixing_weights
 from pagelake.llm.near_dedup import near_duplicates
 from pagelake.llm.secrets import scan_secrets
 from pagelake.llm.stage import table, written
+from pagelake.llm.suffix_dedup import remove_repeats
 from pagelake.llm.warc import audit, build_tree, manifest, record
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,11 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM d
 """
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 50 bytes that a smaller one has."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets in each document, live-looking ones told from examples."""
     return scan_secrets(table(spark, sf_dir, "documents"))
@@ -145,6 +151,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_secrets": op3_secrets,
     "op4_line_dedup": op4_line_dedup,
     "op5_warc_fixity": op5_warc_fixity,
