@@ -82,11 +82,6 @@ def ref_to_id(ref: Column) -> Column:
     )
 
 
-def or_else(value: Column, *fallbacks: Column) -> Column:
-    """First of the values that is not null."""
-    return F.coalesce(value, *fallbacks)
-
-
 def joined_key(*parts: Column | str) -> Column:
     """Parts joined by ``:``; NULL if any part is NULL."""
     cols = [F.lit(p) if isinstance(p, str) else p for p in parts]

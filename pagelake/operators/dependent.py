@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,14 +58,16 @@ def children_of_increment(children_df: DataFrame, parents: DataFrame, on: Mappin
     return lookup_join(children_df, wanted, list(on), "left_semi")
 
 
-def skipped_parents(parents: DataFrame, pages: DataFrame, link: Mapping[str, str | Column]) -> DataFrame:
-    """Parents without a single good child page."""
-    good = pages.where(F.col("http_status").between(200, 299)).select(
+def skipped_parents(
+    parents: DataFrame, pages: DataFrame, link: Mapping[str, str | Column], skip: Collection[int]
+) -> DataFrame:
+    """Parents whose child feed ended on a skipped status, on its first page or a later one."""
+    ended = pages.where(F.col("http_status").isin(*skip)).select(
         *[F.try_element_at("request_key", F.lit(k)).alias(f"_key_{k}") for k in link]
     )
     keyed = parents.withColumns({f"_key_{k}": _col(v).cast("string") for k, v in link.items()})
     names = [f"_key_{k}" for k in link]
-    return keyed.join(good.distinct(), names, "left_anti").drop(*names)
+    return lookup_join(keyed, ended.distinct(), names, "left_semi").drop(*names)
 
 
 def invoice_line_items(invoices: DataFrame, overflow: DataFrame, line: T.DataType | str) -> DataFrame:

@@ -87,23 +87,26 @@ def take_while_fresh(
 
     Old means ``cursor <= start``, or ``<`` with ``inclusive``. The first old position
     of a feed is a minimum (combined map-side, so one long feed is no problem), and
-    there is at most one per feed; the rows are then compared with it.
+    there is at most one per feed; the rows are then compared with it. With
+    ``missing="raise"`` a missing cursor before the first old row fails the job; rows after
+    the cut are not looked at.
     """
     if start is None:
         return rows
     value = F.col(cursor)
     old = value < F.lit(start) if inclusive else value <= F.lit(start)
-    if missing == "stale":
-        old = F.coalesce(old, F.lit(True))
-    elif missing == "include":
-        old = F.coalesce(old, F.lit(False))
-    else:
-        old = F.when(value.isNull(), F.raise_error(F.lit("cursor value is missing")).cast("boolean")).otherwise(old)
+    # A missing cursor that must raise ends the feed like an old row; only the row at the cut is an error.
+    old = F.coalesce(old, F.lit(missing != "include"))
     place = F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(position)])
     names = [f"_feed{i}" for i in range(len(feed))]
     keyed = rows.withColumns({n: F.col(f) for n, f in zip(names, feed, strict=True)})
     keyed = keyed.withColumn("_place", place)
-    cut = keyed.where(old).groupBy(*names).agg(F.min("_place").alias("_cut"))
+    if missing == "raise":
+        first = F.min(F.struct(F.col("_place").alias("place"), value.isNull().alias("missing")))
+        place = F.when(F.col("_first.missing"), F.raise_error(F.lit("cursor value is missing"))).otherwise(F.lit("")) == ""
+        cut = keyed.where(old).groupBy(*names).agg(first.alias("_first")).where(place).select(*names, F.col("_first.place").alias("_cut"))
+    else:
+        cut = keyed.where(old).groupBy(*names).agg(F.min("_place").alias("_cut"))
     joined = lookup_join(keyed, cut, names, "left", spread=["_place"])
     return joined.where(F.col("_cut").isNull() | (F.col("_place") < F.col("_cut"))).select(
         *[F.col(f"`{c}`") for c in rows.columns]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -73,24 +74,34 @@ def split_join(
     repeated once per piece and its facts are dealt over the pieces by a hash of their
     ``spread`` columns (all but maps if not given), so no task gets much more than
     ``hot_rows`` rows of one key and a repeated task deals alike. There are at most
-    ``count(facts) / hot_rows`` hot keys, which bounds the broadcast list of them.
+    ``count(facts) / hot_rows`` hot keys; the list is broadcast only if measured small.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     on = list(on)
-    hot = settle(hot_keys(facts, on, hot_rows))
+    # A null key matches nothing: its rows go past the join, so they never meet in one task.
+    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    aside = facts.where(keyless) if how in ("left", "left_anti") else None
+    facts = facts.where(~keyless)
+    watch, measures = _size_watch(facts.select(*on).withColumn("_pieces", F.lit(1)))
+    hot = settle(hot_keys(facts, on, hot_rows).observe(watch, *measures))
+    seen = watch.get
+    # The list of hot keys grows with the facts; beyond the limits it is joined by shuffle, on its few columns.
+    small = seen["n"] <= BROADCAST_ROWS and (seen["size"] or 0) <= BROADCAST_BYTES
+    hot = F.broadcast(hot) if small else hot
     pieces = F.coalesce("_pieces", F.lit(1))
     dealt_by = F.xxhash64(*(spread or _hashable(facts)))
     dealt = (
-        facts.join(F.broadcast(hot), on, "left")
+        facts.join(hot, on, "left")
         .withColumn("_piece", F.pmod(dealt_by, pieces).cast("int"))
         .drop("_pieces")
     )
     repeated = (
-        lookup.join(F.broadcast(hot), on, "left")
+        lookup.join(hot, on, "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .drop("_pieces")
     )
-    return dealt.join(repeated, [*on, "_piece"], how).drop("_piece")
+    joined = dealt.join(repeated, [*on, "_piece"], how).drop("_piece")
+    return joined if aside is None else joined.unionByName(aside, allowMissingColumns=True)
 
 
 def _hashable(df: DataFrame) -> list[str]:

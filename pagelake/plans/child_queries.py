@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagelake.operators import dependent as C
@@ -132,14 +132,14 @@ def _place_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
     edited = F.concat(F.lit("2024-01-"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
     nations = land(
-        table(spark, sf_dir, "nation").where("n_regionkey IS NOT NULL"),
+        table(spark, sf_dir, "nation"),
         record=F.struct(
             F.col("n_nationkey").cast("string").alias("id"),
             F.col("n_name").alias("name"),
             edited.alias("last_edited_time"),
         ),
         order=F.col("n_nationkey"),
-        feed=F.col("n_regionkey"),
+        feed=F.coalesce(F.col("n_regionkey").cast("string"), F.lit("none")),
         page_no=F.floor(F.col("n_nationkey") / 10) + 1,
         envelope=results,
         source="places",
@@ -206,22 +206,24 @@ def dependent_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT o_orderkey, o_custkey FROM orders
-    WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+    WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_orderkey % 5 IN (0, 1)
     """
 )
 def skipped_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders for which no page of lines was landed."""
+    """Orders whose pages of lines ended on a 404: for some on the first page, for some after good ones."""
+    ended = F.col("l_orderkey") % 5
+    last = F.max("page_no").over(Window.partitionBy("l_orderkey"))
     pages = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", F.pmod(F.xxhash64(*LINE_KEY), F.lit(4)).alias("page_no"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             F.create_map(F.lit("order_id"), F.col("l_orderkey").cast("string")).alias("request_key"),
-            F.lit(200).alias("http_status"),
+            F.when((ended == 0) | ((ended == 1) & (F.col("page_no") == last)), 404).otherwise(200).alias("http_status"),
         )
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return C.skipped_parents(orders, pages, {"order_id": "o_orderkey"})
+    return C.skipped_parents(orders, pages, {"order_id": "o_orderkey"}, {404})
 
 
 @query(

@@ -5,23 +5,27 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelake.functions.jsonpath import as_type
 from pagelake.functions.text import snake_case
+from pagelake.operators.commits import Log, Record
 from pagelake.operators.contract import ensure_columns, with_sentinel
+from pagelake.operators.dedup import latest_by_key
 from pagelake.operators.dependent import child_pages
-from pagelake.operators.incremental import incremental, skip_stale, take_while_fresh
+from pagelake.operators.incremental import incremental, or_floor, skip_stale_counted, take_while_fresh
 from pagelake.operators.nested import array_columns, child_tables, flatten_structs
-from pagelake.operators.pages import PAGE, apply_status_policy, drop_page, skipped_feeds, unwrap
-from pagelake.operators.sinks import LoadReport, Table
-from pagelake.session import settle
+from pagelake.operators.pages import PAGE, POSITION, apply_status_policy, drop_page, skipped_feeds, unwrap
+from pagelake.operators.sinks import LoadReport, Table, with_counts
+from pagelake.session import scratch_scope, settle
 from pagelake.sources.landing import infer_record, overlay, pick
 from pagelake.specs import Parent, Resource, Source
 
 CURSOR = "_cursor"
+# Where a record of a merged resource was delivered: of two versions with one cursor the later counts.
+PLACE = "_place_in_run"
 
 
 class Run:
@@ -50,12 +54,12 @@ class Run:
         self.options = options
         self._increments: dict[tuple[str, bool], DataFrame] = {}
         self._crawled: dict[tuple, DataFrame] = {}
+        self.late: dict[str, Observation] = {}
 
     def start(self, resource: Resource) -> object | None:
         """Mark of a resource in the cursor's own type, or its floor."""
         cursor = resource.cursor
-        mark = self.marks.get(resource.name)
-        mark = cursor.floor if mark is None else mark
+        mark = or_floor(self.marks.get(resource.name), cursor.floor)
         if mark is None:
             return None
         if cursor.kind == "timestamp":
@@ -90,6 +94,13 @@ class Run:
         """Write the increment once; what is built from it then reads the written rows."""
         self._increments[name, False] = settle(self.increment(name))
 
+    def keep_latest(self, name: str) -> None:
+        """Hold one version of each key: the largest cursor, then the latest delivery."""
+        rows = self.increment(name)
+        keys = list(self.source[name].key)
+        order = [c for c in (CURSOR, PLACE) if c in rows.columns] or [F.lit(1)]
+        self._increments[name, False] = settle(latest_by_key(rows.dropna(subset=keys), keys, order))
+
     def _increment(self, resource: Resource, full: bool) -> DataFrame:
         if resource.build is not None:
             return resource.build(self, resource)
@@ -106,7 +117,8 @@ class Run:
             pages = pages.withColumn(entry, F.try_element_at("request_key", F.lit(entry)))
             carry.append(entry)
         ordered = cursor is not None and cursor.how == "take_while"
-        rows = unwrap(pages, resource.selector, record, position=ordered, carry=carry)
+        placed = resource.disposition == "merge" and not full
+        rows = unwrap(pages, resource.selector, record, position=ordered or placed, carry=carry)
         if ordered:
             rows = take_while_fresh(
                 rows,
@@ -117,7 +129,9 @@ class Run:
                 inclusive=cursor.range_start == "closed",
             )
         elif cursor is not None and cursor.how == "skip_stale":
-            rows = skip_stale(rows, cursor.path, self.start(resource))
+            rows, self.late[resource.name] = skip_stale_counted(rows, cursor.path, self.start(resource))
+        if placed:
+            rows = rows.withColumn(PLACE, F.struct(f"{PAGE}.run_id", f"{PAGE}.page_no", POSITION))
         rows = drop_page(rows)
         rows = reduce(lambda df, change: df.transform(change), resource.transforms, rows)
         if cursor is not None and cursor.how == "filter":
@@ -148,7 +162,7 @@ class Run:
         ``_cursor`` for the mark.
         """
         resource = self.source[name]
-        flat = flatten_structs(self.increment(name))
+        flat = flatten_structs(self.increment(name)).drop(PLACE)
         return ensure_columns(flat, resource.contract).drop(
             *[c for c in array_columns(flat) if c not in resource.contract]
         )
@@ -158,7 +172,7 @@ class Run:
         resource = self.source[name]
         keys = [snake_case(k) for k in resource.key]
         flat = flatten_structs(self.increment(name))
-        flat = flat.drop(CURSOR, *[c for c in resource.contract if c not in keys])
+        flat = flat.drop(CURSOR, PLACE, *[c for c in resource.contract if c not in keys])
         return child_tables(flat, keys, max_nesting=resource.max_nesting)
 
 
@@ -175,6 +189,11 @@ def table_of(spark: SparkSession, warehouse: str, source: str, name: str) -> Tab
     return Table(spark, f"{warehouse.rstrip('/')}/{source}/{name}")
 
 
+def child_table_of(table: Table, child: str) -> Table:
+    """Child table of a resource: a folder of its own, committed in the log of its parent."""
+    return Table(table.spark, f"{table.root}__{child}", log_root=table.root, name=child)
+
+
 def run_source(
     spark: SparkSession,
     source: Source,
@@ -185,12 +204,15 @@ def run_source(
     run_id: str | None = None,
     sentinels: bool = False,
     child_tables: bool = True,
+    on_error: str = "raise",
     **options: object,
 ) -> dict[str, LoadReport]:
     """Load the resources (all by default) and report on each.
 
-    The marks are read once before anything is written. Each resource is its own set of
-    jobs, and its mark moves only with its commit.
+    The marks are read once before anything is written. A resource and its child tables
+    are committed together, and its mark moves with that commit. A run that was appended
+    before is not appended again. With ``on_error="report"`` a resource that fails is
+    reported with its error and the others go on.
     """
     names = list(resources) if resources is not None else source.names()
     pages = pick(pages, run_id=run_id)
@@ -199,45 +221,68 @@ def run_source(
         for r in source.resources
         if r.cursor is not None
     }
-    run = Run(spark, source, pages, marks, **options)
     reports = {}
-    for name in names:
-        resource = source[name]
-        keys = [snake_case(k) for k in resource.key]
-        rows = run.rows(name)
-        noted = {"run_id": run_id, "resource": name}
-        if child_tables:
-            if run.children(name):
-                # Several tables come from the same records: parse them once.
-                run.hold(name)
-                rows = run.rows(name)
-            parents = rows.select(*keys)
-            for child, child_rows in run.children(name).items():
-                _write_child(
-                    table_of(spark, warehouse, source.name, f"{resource.table_name}__{child}"),
-                    child_rows,
-                    resource,
-                    parents,
-                    noted,
-                )
-        if sentinels and resource.sentinel:
-            rows = with_sentinel(rows, keys)
-        table = table_of(spark, warehouse, source.name, resource.table_name)
-        cursor = CURSOR if CURSOR in rows.columns else None
-        reports[name] = table.write(rows, resource.disposition, keys, cursor=cursor, **noted)
+    with scratch_scope(spark):
+        run = Run(spark, source, pages, marks, **options)
+        for name in names:
+            table = table_of(spark, warehouse, source.name, source[name].table_name)
+            try:
+                reports[name] = _load(run, source[name], table, run_id, sentinels, child_tables)
+            except Exception as error:
+                if on_error != "report":
+                    raise
+                reports[name] = LoadReport(0, source[name].disposition, 0, None, error=str(error))
     return reports
 
 
-def _write_child(
-    table: Table, rows: DataFrame, resource: Resource, parents: DataFrame, noted: dict
-) -> None:
+def _load(run: Run, resource: Resource, table: Table, run_id: str | None, sentinels: bool, child_tables: bool) -> LoadReport:
+    name = resource.name
+    if resource.disposition == "append" and run_id is not None:
+        if known := table.report_of(run_id, name):
+            return known
+    keys = [snake_case(k) for k in resource.key]
+    noted = {"run_id": run_id, "resource": name}
+    merged = resource.disposition == "merge"
+    if merged:
+        # Child rows come from the versions that stay.
+        run.keep_latest(name)
+    staged: list[Record] = []
+    if child_tables:
+        children = run.children(name)
+        if children and not merged:
+            # Several tables come from the same records: parse them once.
+            run.hold(name)
+            children = run.children(name)
+        parents = run.rows(name).select(*keys)
+        staged = [_staged_child(child_table_of(table, c), rows, resource, parents, noted) for c, rows in children.items()]
+        if resource.disposition != "append":
+            # Rows of child tables that this run has nothing for go as well.
+            for child in _known_children(table, name) - set(children):
+                of = child_table_of(table, child)
+                nothing = run.spark.createDataFrame([], of.schema())
+                staged.append(_staged_child(of, nothing, resource, parents, noted))
+    rows = run.rows(name)
+    if sentinels and resource.sentinel:
+        rows = with_sentinel(rows, keys)
+    cursor = CURSOR if CURSOR in rows.columns else None
+    skipped = run.skipped(name).count() if resource.skip else 0
+    own = table.staged(rows, resource.disposition, keys, cursor=cursor, skipped=skipped, **noted)
+    if name in run.late:
+        own = with_counts(own, late=run.late[name].get["late"])
+    return table.commit(own, *staged)
+
+
+def _known_children(table: Table, resource: str) -> set[str]:
+    return {r.table for r in Log(table.spark, table.root).current()[0] if r.table and r.resource == resource}
+
+
+def _staged_child(table: Table, rows: DataFrame, resource: Resource, parents: DataFrame, noted: dict) -> Record:
     if resource.disposition != "merge":
-        table.write(rows, resource.disposition, **noted)
-        return
+        return table.staged(rows, resource.disposition, **noted)
     own = [f"parent_{snake_case(k)}" for k in resource.key]
     # Deeper child tables carry the same parent columns under a longer prefix.
     found = [next(c for c in rows.columns if c.endswith(k)) for k in own]
     renamed = parents.select(
         *[parents[snake_case(k)].alias(c) for k, c in zip(resource.key, found, strict=True)]
     )
-    table.merge(rows, found, of_parents=renamed, **noted)
+    return table.staged_merge(rows, found, of_parents=renamed, **noted)

@@ -16,7 +16,13 @@ from pagelake.streaming.streams import batch_writer, run_available, stream_dedup
 
 
 def _table(spark: SparkSession, name: str) -> Table:
-    return Table(spark, scratch_dir(spark, name), buckets=16)
+    return Table(spark, scratch_dir(spark, name))
+
+
+def _kinds(events: DataFrame) -> list[str | None]:
+    """The event types there are, each a resource of its own; those without one come last."""
+    found = [r[0] for r in events.select("event_type").distinct().collect()]
+    return sorted(found, key=lambda k: (k is None, k or ""))
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +114,7 @@ def key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT row_number() OVER (ORDER BY event_type) AS version, event_type AS resource,
+    SELECT row_number() OVER (ORDER BY event_type NULLS LAST) AS version, coalesce(event_type, 'none') AS resource,
            count(*) AS rows, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS high_water
     FROM events GROUP BY event_type
     """
@@ -117,27 +123,27 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and mark of one load per event type into a shared table."""
     target = _table(spark, "shared")
     events = table(spark, sf_dir, "events")
-    for kind in ["click", "error", "purchase", "signup", "view"]:
-        target.append(events.where(F.col("event_type") == kind), cursor="ts", resource=kind)
+    for kind in _kinds(events):
+        target.append(events.where(F.col("event_type").eqNullSafe(kind)), cursor="ts", resource=kind or "none")
     return target.reports().select("version", "resource", "rows", "high_water")
 
 
 @query(
     """
-    SELECT event_type AS resource, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS last_value
-    FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type
+    SELECT coalesce(event_type, 'none') AS resource, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS last_value
+    FROM events GROUP BY event_type
     """
 )
 def cursor_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks after two runs each; the second run finds nothing new and changes none."""
     target = _table(spark, "marks")
     events = table(spark, sf_dir, "events")
-    for kind in ["click", "view", "click", "view"]:
-        rows = events.where(F.col("event_type") == kind)
-        mark = target.high_water(kind)
+    for kind in _kinds(events) * 2:
+        rows = events.where(F.col("event_type").eqNullSafe(kind))
+        mark = target.high_water(kind or "none")
         if mark is not None:
             rows = rows.where(F.col("ts") > F.lit(mark).cast("timestamp").cast("timestamp_ntz"))
-        target.append(rows, cursor="ts", resource=kind)
+        target.append(rows, cursor="ts", resource=kind or "none")
     return cursor_state(target)
 
 
@@ -168,8 +174,7 @@ def shared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed_events(spark: SparkSession, sf_dir: str) -> str:
     """Events landed as pages in a folder."""
     path = scratch_dir(spark, "landing")
-    pages = event_pages(spark, sf_dir).coalesce(8)
-    write_pages(pages, path)
+    write_pages(event_pages(spark, sf_dir), path)
     return path
 
 
@@ -190,8 +195,8 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1")
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed pages streamed into a table keyed by user. A batch replayed after its
-    commit (a new progress folder with the same stream name) changes nothing."""
+    """Landed pages streamed into a table keyed by user; a new progress folder, which
+    delivers every page again, changes nothing."""
     target, path = _table(spark, "stream"), _landed_events(spark, sf_dir)
     write = batch_writer(target, "merge", ["user_id"], ["ts"], stream="users", prepare=_rows)
     for _ in range(2):
@@ -211,3 +216,27 @@ def stream_dedup_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+
+
+@query("SELECT * FROM events")
+def stream_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch is the whole table: first some pages, then a later delivery of all."""
+    target, path = _table(spark, "stream"), _landed_events(spark, sf_dir)
+    write = batch_writer(target, "replace", stream="snapshots", prepare=_rows)
+    some = stream_pages(spark, path).where("page_no % 2 = 0")
+    run_available(some, write, scratch_dir(spark, "progress"))
+    run_available(stream_pages(spark, path), write, scratch_dir(spark, "progress"))
+    return target.read()
+
+
+@query("SELECT * FROM events")
+def stream_new_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose progress folder is lost while more pages land: each event is there once."""
+    target, path = _table(spark, "stream"), scratch_dir(spark, "landing")
+    pages = event_pages(spark, sf_dir)
+    write = batch_writer(target, "append", stream="events", prepare=_rows, on_new_progress="reload")
+    write_pages(pages.where("page_no % 3 > 0"), path)
+    run_available(stream_pages(spark, path), write, scratch_dir(spark, "progress"))
+    write_pages(pages.where("page_no % 3 = 0"), path)
+    run_available(stream_pages(spark, path), write, scratch_dir(spark, "progress"))
+    return target.read()

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import NullType
 
 # Runtime SQL settings; all of them can be changed on a live session.
 RUNTIME_CONF = {
@@ -52,7 +55,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Folders that settle() has written, by the scope that deletes them at its end.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is settled inside is deleted at the end; use it around work whose results are written."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as parquet into the checkpoint folder and continue from the written rows."""
+    if any(isinstance(f.dataType, NullType) for f in df.schema.fields):
+        # Files cannot hold a column without a type.
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, "settled")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from pagelake.operators.dependent import DOCUMENT_TYPES, mail_documents, sharepoint_documents
 from pagelake.operators.incremental import skip_stale, take_while_fresh
-from pagelake.operators.pages import drop_page, file_items, unwrap
+from pagelake.operators.pages import PAGE, drop_page, file_items, unwrap
 from pagelake.specs import Cursor, Resource, Source
 
 # The message fields asked for.
@@ -24,7 +24,8 @@ ITEM = (
 def fresh_messages(pages: DataFrame, start: str | None) -> DataFrame:
     """Messages of the newest-first feed before the first old one."""
     rows = unwrap(pages, "value", MESSAGE, position=True)
-    return drop_page(take_while_fresh(rows, "receivedDateTime", start))
+    feed = [f"{PAGE}.run_id", f"{PAGE}.feed"]
+    return drop_page(take_while_fresh(rows, "receivedDateTime", start, feed=feed))
 
 
 def fresh_items(pages: DataFrame, start: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,7 +144,9 @@ def _plain(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.StructType):
         if not kind.fields:
             return T.StringType()
-        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+        # Of an array that was always empty nothing is known; a later run may find objects in it.
+        told = [f for f in kind.fields if f.dataType != T.ArrayType(T.NullType())]
+        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in told]) if told else T.StringType()
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_plain(kind.elementType))
     if isinstance(kind, (T.NullType, T.VariantType)):
@@ -172,11 +173,3 @@ def _over(found: T.DataType, want: T.DataType) -> T.DataType:
         return T.ArrayType(_over(found.elementType, want.elementType))
     return want
 
-
-def has_pages(spark: SparkSession, path: str) -> bool:
-    """True where a landing folder exists."""
-    try:
-        spark.read.schema(PAGES).parquet(path)
-    except AnalysisException:
-        return False
-    return True

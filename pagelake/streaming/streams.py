@@ -28,22 +28,31 @@ def batch_writer(
     stream: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     cursor: str | None = None,
+    on_new_progress: str = "fail",
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function with one of the write dispositions.
 
-    A batch that was committed before (a restart after the commit) is left alone, so
-    every batch counts once.
+    A batch is known by the id that its progress folder keeps for the stream, and its
+    number: a restart after the commit leaves a committed batch alone, so every batch
+    counts once. A new progress folder reads all landed pages again, from batch 0. A
+    merge or replace may do so; for an append under a name that has been used that is an
+    error, or with ``on_new_progress="reload"`` the first batch's commit takes out what
+    the stream had added before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if table.has_batch(stream, batch_id):
+        progress = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if progress is None:
+            raise RuntimeError("the stream's id is not known here; call this from foreachBatch")
+        known = table.streams(stream)
+        if progress in known and batch_id <= known[progress]:
             return
-        run = {"run_id": stream, "batch_id": batch_id, "cursor": cursor}
-        rows = prepare(batch)
-        if disposition == "merge":
-            table.merge(rows, keys, order, **run)
-        else:
-            table.write(rows, disposition, keys, **run)
+        run = {"run_id": stream, "stream_id": progress, "batch_id": batch_id, "cursor": cursor}
+        if disposition == "append" and known and progress not in known:
+            if on_new_progress != "reload":
+                raise RuntimeError(f"stream {stream} has written to {table.root} from another progress folder")
+            run["without"] = table.paths_of(stream)
+        table.write(prepare(batch), disposition, keys, order, **run)
 
     return write
 

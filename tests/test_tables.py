@@ -14,7 +14,7 @@ from pagelake.session import scratch_dir
 
 @pytest.fixture
 def table(spark):
-    return Table(spark, scratch_dir(spark, "table"), buckets=4)
+    return Table(spark, scratch_dir(spark, "table"), bucket_rows=25)
 
 
 def test_contract(spark):
