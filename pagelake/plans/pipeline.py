@@ -184,9 +184,10 @@ def _cursor_field(resource: Resource) -> T.StructType:
     return kind
 
 
-def table_of(spark: SparkSession, warehouse: str, source: str, name: str) -> Table:
-    """Table folder of a resource in a warehouse folder."""
-    return Table(spark, f"{warehouse.rstrip('/')}/{source}/{name}")
+def table_of(spark: SparkSession, warehouse: str, source: str, name: str, child: str | None = None) -> Table:
+    """Table folder of a resource, or of one of its child tables, in a warehouse folder."""
+    own = Table(spark, f"{warehouse.rstrip('/')}/{source}/{name}")
+    return own if child is None else child_table_of(own, child)
 
 
 def child_table_of(table: Table, child: str) -> Table:

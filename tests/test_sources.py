@@ -97,7 +97,7 @@ def test_stripe(spark, landed, warehouse):
     lines = table_of(spark, warehouse, "stripe", "invoice_line_items").read()
     assert ids(lines, "invoice_id", "id") == [("in_1", "a"), ("in_1", "b"), ("in_2", "c"), ("in_2", "d")]
     assert {"price__id", "proration"} <= set(lines.columns)
-    child = table_of(spark, warehouse, "stripe", "invoices__lines__data").read()
+    child = table_of(spark, warehouse, "stripe", "invoices", "lines__data").read()
     assert ids(child, "parent_id", "list_idx", "id") == [("in_1", 0, "a"), ("in_1", 1, "b"), ("in_2", 0, "c")]
     # Second run: the record at the mark is not loaded again, nor are its lines.
     second = {"data": [invoice("in_1", "sub_1", None, ["a", "b"], False), {**invoice("in_3", "s", None, ["e"], False), "created": 1700000001}]}
@@ -161,7 +161,7 @@ def test_pipedrive(spark, landed, warehouse):
     assert [tuple(r) for r in rows] == [(101, 10, 12), (102, None, None)]
     assert ids(read("users"), "id", "name") == [(10, "Owner A")]
     assert dict(read("stages").dtypes)["rotten_days"] == "bigint"
-    assert ids(table_of(spark, warehouse, "pipedrive", "persons__email").read(), "parent_id", "list_idx") == [(1, 0), (1, 1)]
+    assert ids(table_of(spark, warehouse, "pipedrive", "persons", "email").read(), "parent_id", "list_idx") == [(1, 0), (1, 1)]
 
 
 def test_notion_two_runs(spark, landed, warehouse):
@@ -321,7 +321,7 @@ def test_quickbooks(spark, landed, warehouse):
     ]
     assert ids(table_of(spark, warehouse, "quickbooks", "tax_agencies").read(), "id") == [("7",)]
     assert table_of(spark, warehouse, "quickbooks", "employees").read().count() == 0
-    child = table_of(spark, warehouse, "quickbooks", "customers__lines")
+    child = table_of(spark, warehouse, "quickbooks", "customers", "lines")
     assert ids(child.read(), "parent_id", "list_idx", "n") == [("1", 0, 1), ("1", 1, 2)]
     later = landed(page("quickbooks", "customers", {"QueryResponse": {"Customer": [customer("1", "2024-01-03T00:00:00Z", GivenName="G", Lines=[{"N": 5}]), customer("2", t2)]}}))
     assert run_source(spark, source, later, warehouse, ["customers"])["customers"].rows == 1
