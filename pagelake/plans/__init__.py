@@ -6,6 +6,7 @@ from pagelake.plans import (  # noqa: F401  (importing a module registers its qu
     document_queries,
     page_queries,
     row_queries,
+    run_queries,
     source_queries,
     table_queries,
 )

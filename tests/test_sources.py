@@ -362,3 +362,14 @@ def test_agree_and_loxo(spark, landed):
     assert row["due_at"] == datetime(2024, 1, 1) and row["paid_at"] is None
     assert ids(Run(spark, SOURCES["loxo"], pages).rows("people"), "id") == [("1",)]
     assert ids(Run(spark, SOURCES["loxo"], pages).rows("activities"), "id") == [("e",)]
+
+
+def test_an_old_run_does_not_cut_a_new_one(landed):
+    from pagelake.sources.catalog.m365_graph import fresh_messages
+
+    message = lambda i, at: {"id": i, "receivedDateTime": at}
+    pages = landed(
+        page("m365_graph", "messages", {"value": [message("old", "2024-01-01T00:00:00Z")]}, run="run-1"),
+        page("m365_graph", "messages", {"value": [message("b", "2024-03-02T00:00:00Z"), message("a", "2024-03-01T00:00:00Z")]}, run="run-2"),
+    )
+    assert ids(fresh_messages(pages, "2024-02-01T00:00:00Z"), "id") == [("a",), ("b",)]

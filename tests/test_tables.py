@@ -270,3 +270,75 @@ def test_a_failed_write_changes_nothing(spark, table):
     assert table.read().count() == 1 and table.high_water() == "a"
     table.append(spark.createDataFrame([(2, "b")], "id int, c string"), cursor="c")
     assert table.read().count() == 2 and table.high_water() == "b"
+
+
+def test_of_two_writers_the_second_fails(spark, table):
+    rows = spark.createDataFrame([(1, "a")], "id int, c string")
+    table.append(rows)
+    first, second = table.staged_append(rows), table.staged_append(rows)
+    log = table._log()
+    log.commit([first])
+    name = f"{2:012d}.commit.json"
+    with pytest.raises(Exception, match="exist"):
+        log._write(name, [second])
+    assert table.read().count() == 2
+
+
+def test_log_is_summed_up(spark, table, monkeypatch):
+    monkeypatch.setattr("pagelake.operators.commits.SNAPSHOT_EVERY", 4)
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, c string")
+    for k in range(9):
+        table.append(rows.where(f"id = {k % 2 + 1}"), cursor="c", resource=f"r{k % 2}", run_id=f"run-{k}")
+    assert table.read().count() == 9 and table.log().count() == 9
+    assert (table.high_water("r0"), table.high_water("r1")) == ("a", "b")
+    assert table.report_of("run-3", "r1").repeated
+    table.replace(rows.limit(1))
+    assert table.vacuum() == 9 and table.read().count() == 1
+
+
+def test_types_widen(spark, table):
+    table.merge(spark.sql("select 1 id, 1 n, cast(null as string) e, named_struct('a', 1) s"), ["id"])
+    table.merge(spark.sql("select 2 id, 2.5D n, 7 e, named_struct('a', 'x', 'b', 2) s"), ["id"])
+    table.merge(spark.sql("select 3 id, 4L n, cast(null as string) e, named_struct('b', 3) s, true more"), ["id"])
+    got = {r["id"]: r for r in table.read().collect()}
+    assert [got[i]["n"] for i in (1, 2, 3)] == [1.0, 2.5, 4.0] and [got[i]["e"] for i in (1, 2, 3)] == [None, 7, None]
+    assert [tuple(got[i]["s"]) for i in (1, 2, 3)] == [("1", None), ("x", 2), (None, 3)] and got[3]["more"]
+
+
+def test_merge_rewrites_few_files(spark, table):
+    table.merge(spark.range(1000).selectExpr("id", "'old' v"), ["id"])
+    held = len(table.log().first()["added"])
+    table.merge(spark.sql("select 5L id, 'new' v"), ["id"])
+    last = table.log().orderBy(F.desc("version")).first()
+    assert held == 40 and len(last["added"]) == len(last["removed"]) == 1
+    # A table that outgrows its buckets is dealt over more of them.
+    table.merge(spark.range(1000, 4000).selectExpr("id", "'more' v"), ["id"])
+    assert table.read().count() == 4000 and table.log().orderBy(F.desc("version")).first()["buckets"] == 160
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti", "inner", "left_semi"])
+def test_null_keys_are_not_one_task(spark, how):
+    facts = spark.range(1000).selectExpr("id", "case when id >= 1000 then 1 end k").repartition(6)
+    facts = facts.unionByName(spark.sql("select 5000L id, 1 k"))
+    lookup = spark.sql("select 1 k, 'one' v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.split_join(facts, lookup, ["k"], how, hot_rows=100)
+        plain = facts.join(lookup, ["k"], how)
+        assert joined.columns == plain.columns
+        assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.collect()))
+        if how in ("left", "left_anti"):
+            sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+            assert len([r for r in sizes if r["count"] > 100]) >= 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_missing_cursor_counts_before_the_cut_only(landed):
+    body = lambda *at: {"data": [{"id": n, "at": a} for n, a in enumerate(at)]}
+    rows = unwrap(landed(page("s", "r", body("9", "1", None))), "data", "id bigint, at string", position=True)
+    assert ids(I.take_while_fresh(rows, "at", "5", missing="raise"), "id") == [(0,)]
+    early = unwrap(landed(page("s", "r", body("9", None, "1"))), "data", "id bigint, at string", position=True)
+    with pytest.raises(Exception, match="cursor value is missing"):
+        I.take_while_fresh(early, "at", "5", missing="raise").collect()
