@@ -10,11 +10,12 @@ log2(n) processes. Points are thrown in order of time up to a horizon by which a
 are full with near certainty; documents with an empty place go on with a later horizon.
 
 Documents with equal multisets are one node. Nodes that agree in a band meet in its bucket. There,
-all are compared with one hub; those not linked to it meet again with another hub, until none is
-left over; and where the distances to a hub, which obey the triangle inequality, leave a link
-between a linked and an unlinked node possible and the two are not connected yet, that pair is
-compared as well. So each connection that all pairs of a bucket would give is found, without
-writing all pairs. Comparing is exact, over whole texts; a hub of many nodes is compared in chunks.
+all are compared with one hub, a hub of many nodes in chunks. The nodes that the hub did not take
+are then compared with all others of the bucket, chunk by chunk in blocks, as products of incidence
+matrices. So each connection that all pairs of a bucket would give is found, and no pairs are
+written: a star for each bucket, and from each block a forest of its links. Comparing is exact, over
+whole texts. A group whose copies are like its hub costs one comparison a copy; one whose copies
+differ among themselves by about the threshold costs a matrix product for each two chunks.
 
 Defined results: words are runs of letters and digits in lower case; a text of one to four words is
 one shingle; null and wordless texts are classes of their own and stay; repeated rows are members of
@@ -205,71 +206,126 @@ def _order(node):
     return F.struct(F.xxhash64(node, F.lit("hub")), F.col(node))
 
 
-def _links(nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) links that connect all nodes which pairs within buckets would connect."""
-    met = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    open_ = written(met.join(crowded, "bucket"), "near-buckets")
+def _texts_of(open_: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes that meet another one."""
     meeting = open_.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
     found = docs.select(F.col("doc_id").alias("_id"), "text").withColumn("_key", F.xxhash64("text"))
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))
     # Rows that repeat hold the same text; one of them is enough.
-    texts = found.join(meeting, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))).select("node", "text").dropDuplicates(["node"])
-    texts = written(texts, "near-texts")
-    tested, links, number = None, None, 0
-    while True:
-        hubs = open_.groupBy("bucket").agg(F.min(_order("node")).alias("h"), F.count("*").alias("n")).where("n > 1").select("bucket", F.col("h.node").alias("hub"))
-        starred = written(open_.join(hubs, "bucket").where("node <> hub"), "near-star")
-        pairs = starred.select("hub", "node").distinct()
-        if starred.limit(1).count() == 0:
-            break
-        if tested is not None:
-            # The same two may meet in another bucket later on.
-            done = tested.select("hub", "node", "similarity")
-            new = written(_similarities(pairs.join(done, ["hub", "node"], "left_anti"), texts).unionByName(done), "near-tested")
-        else:
-            new = _similarities(pairs, texts)
-        tested = new
-        judged = written(starred.join(tested, ["hub", "node"]).withColumn("round", F.lit(number)), "near-judged")
-        links = judged if links is None else links.unionByName(judged)
-        open_ = written(judged.where(F.col("similarity") < threshold).select("bucket", "node"), "near-buckets")
-        number += 1
-    if links is None:
-        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    sure = links.where(F.col("similarity") >= threshold).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    sure = written(sure, "near-links")
-    return sure.unionByName(_crossing(links, sure, texts, threshold))
-
-
-def _crossing(judged: DataFrame, sure: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links between a node that its hub took and one that it did not.
-
-    With distances d to the hub, two nodes can only be within 1 - threshold of each other where
-    theirs differ by no more than that.
-    """
-    far = 1.0 - threshold
-    labels = components(sure)
+    return written(found.join(meeting.hint("merge"), same).select("node", "text").dropDuplicates(["node"]), "near-texts")
 
-    def labelled(rows: DataFrame, name: str) -> DataFrame:
-        known = labels.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"))
-        return rows.join(known, name, "left").withColumn(f"{name}_label", F.coalesce(f"{name}_label", name))
 
-    place = ["bucket", "round", "hub"]
-    taken = judged.where(F.col("similarity") >= threshold).select(*place, F.col("node").alias("a"), (1 - F.col("similarity")).alias("d_a"))
-    left = judged.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far)).select(
-        *place, F.col("node").alias("b"), (1 - F.col("similarity")).alias("d_b")
+def _links(nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) links that connect all nodes which the similar pairs within buckets connect."""
+    met = nodes.select("node", F.explode("bands").alias("bucket"))
+    crowded = met.groupBy("bucket").agg(F.count("*").alias("n"), F.min(_order("node")).alias("h")).where("n > 1").select("bucket", F.col("h.node").alias("hub"))
+    starred = written(met.join(crowded.hint("merge"), "bucket"), "near-buckets")
+    texts = _texts_of(starred, nodes, docs)
+    starred = starred.where("node <> hub")
+    compared = _similarities(starred.select("hub", "node").distinct(), texts)
+    judged = starred.join(compared.hint("merge"), ["hub", "node"]).select("bucket", "node", "hub", (F.col("similarity") >= threshold).alias("linked"))
+    judged = written(judged, "near-judged")
+    sure = judged.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    return sure.unionByName(_beyond_hubs(judged, texts, threshold))
+
+
+def _beyond_hubs(judged: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links of the nodes that their bucket's hub did not take, to others of the bucket.
+
+    Buckets of the same nodes are looked at once. A bucket is cut into chunks, and each two of them
+    are a block for one task, which returns no pairs but a forest of the links it finds.
+    """
+    stats = (
+        judged.groupBy("bucket")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(~F.col("linked")).alias("open"),
+            *(F.sum(F.xxhash64("node", F.lit(salt)).cast("decimal(38,0)")).alias(f"s{salt}") for salt in (1, 2)),
+        )
+        .where("n > 1 and open > 0")
+    )
+    once = stats.groupBy("n", "open", "s1", "s2").agg(F.min("bucket").alias("bucket")).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
+    dealt = judged.join(once.select("bucket", "chunks").hint("merge"), "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    blocks = dealt.select("bucket", "node", "linked", "chunk", other).select(
+        "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "node", "linked"
     )
-    left = labelled(labelled(left, "b"), "hub").where("b_label <> hub_label").drop("hub_label")
-    pairs = taken.join(left, place).where(F.col("d_b") - F.col("d_a") <= far + 1e-9).select(F.col("b").alias("hub"), F.col("a").alias("node")).distinct()
-    compared = _similarities(written(pairs, "near-crossing"), texts)
-    return compared.where(F.col("similarity") >= threshold).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    rows = blocks.join(texts.hint("merge"), "node")
+    return written(rows.groupBy("bucket", "low", "high").applyInArrow(_forest(threshold), "a long, b long"), "near-beyond")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, text_key, class_id, class_size, n_links, kept.
+#: Columns of shingles multiplied at a time.
+COLUMNS = 4096
+
 
-    ``class_id`` is the smallest doc_id of the class; ``n_links`` counts the verified links of the
-    document's multiset to other ones.
+def _overlaps(rows: np.ndarray, shingles: np.ndarray, counts: np.ndarray, n: int, split: int) -> np.ndarray:
+    """Multiset overlaps of the first ``split`` rows with the others (with ``split`` 0, of all with all).
+
+    A shingle of count c is c columns of ones, so that products of columns add up to the smaller count.
     """
+    turn = ranges(np.zeros(len(counts), np.int64), counts)
+    of = np.repeat(np.arange(len(counts)), counts)
+    row = rows[of]
+    _, column, held = np.unique(mix(shingles[of] + turn.astype(np.uint64) * MIX_A), return_inverse=True, return_counts=True)
+    keep = held[column] > 1
+    _, column = np.unique(column[keep], return_inverse=True)
+    row = row[keep]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    a, b = (slice(0, split), slice(split, n)) if split else (slice(0, n), slice(0, n))
+    total = np.zeros((a.stop - a.start, b.stop - b.start), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, [first, first + COLUMNS])
+        ones = np.zeros((n, COLUMNS), np.float32)
+        ones[row[low:high], column[low:high] - first] = 1
+        total += ones[a] @ ones[b].T
+    return total
+
+
+def _forest(threshold: float):
+    def forest(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("chunk", "ascending"), ("node", "ascending")])
+        n = len(table)
+        nodes = table.column("node").to_numpy()
+        linked = table.column("linked").to_numpy()
+        chunk = table.column("chunk").to_numpy()
+        crossing = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        split = int(np.searchsorted(chunk, chunk[0], "right")) if crossing else 0
+        out: list[tuple[int, int]] = []
+        if not crossing or split < n:
+            parts, first = [], 0
+            for batch in table.select(["text"]).to_batches():
+                for part in slices_by_bytes(batch, "text", 1 << 20):
+                    rows, shingles, counts = bags(part.column("text"))
+                    parts.append((rows + first, shingles, counts))
+                    first += len(part)
+            rows, shingles, counts = (np.concatenate(x) for x in zip(*parts))
+            weight = np.bincount(rows, weights=counts, minlength=n)
+            shared = _overlaps(rows, shingles, counts, n, split)
+            a, b = (np.arange(split), np.arange(split, n)) if split else (np.arange(n), np.arange(n))
+            similar = shared >= threshold * (weight[a][:, None] + weight[b][None, :] - shared) - 1e-6
+            # What the hub took is connected through it already.
+            similar &= ~(linked[a][:, None] & linked[b][None, :])
+            parent = list(range(n))
+
+            def root(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for i, j in zip(*np.nonzero(similar)):
+                x, y = int(a[i]), int(b[j])
+                if x != y and root(x) != root(y):
+                    parent[root(x)] = root(y)
+                    out.append((int(nodes[x]), int(nodes[y])))
+        return pa.table([pa.array([o[k] for o in out], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return forest
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, text_key, class_id (the smallest doc_id of the class), class_size, kept."""
     chosen = docs.select("doc_id", "text")
     keyed = chosen.withColumn("text_key", F.xxhash64("text"))
     id_type = chosen.schema["doc_id"].dataType.simpleString()
@@ -281,22 +337,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = written(nodes.select(*bag, F.col("f.row").alias("node"), "f.doc_id", "f.text_key", "f.bands"), "near-nodes")
     links = written(_links(nodes, chosen, threshold), "near-all-links")
     labels = components(links)
-    degree = links.select("a", "b").union(links.select("b", "a")).distinct().groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
-    named = (
-        nodes.select(*bag, "node")
-        .join(labels, "node", "left")
-        .join(degree, "node", "left")
-        .select(*bag, F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    )
+    named = nodes.select(*bag, "node").join(labels.hint("merge"), "node", "left").select(*bag, F.coalesce("label", "node").alias("label"))
     members = written(
         signed.select("doc_id", "text_key", "row", *bag)
-        .join(named, bag, "left")
-        .select("doc_id", "text_key", "row", F.coalesce("label", F.col("row")).alias("label"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")),
+        .join(named.hint("merge"), bag, "left")
+        .select("doc_id", "text_key", "row", F.coalesce("label", F.col("row")).alias("label")),
         "near-members",
     )
     classes = members.groupBy("label").agg(F.min(F.struct("doc_id", "row")).alias("f"), F.count("*").alias("class_size"))
-    return members.join(classes, "label").select(
-        "doc_id", "text_key", F.col("f.doc_id").alias("class_id"), "class_size", "n_links", (F.col("row") == F.col("f.row")).alias("kept")
+    return members.join(classes.hint("merge"), "label").select(
+        "doc_id", "text_key", F.col("f.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("f.row")).alias("kept")
     )
 
 

@@ -141,7 +141,7 @@ GROUP BY row_no, doc_id, item, item_id, n_item HAVING count(*) >= 0.8 * n_item -
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of each document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", "class_size", "n_links", "kept")
+    return found.select("doc_id", "class_id", "class_size", "kept")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
