@@ -52,7 +52,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the lines of recurring templates."""
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+    counts = [F.col("_line_count").alias("n_lines"), F.col("_line_dropped").alias("n_dropped")]
+    return kept.select("doc_id", *counts, digest.alias("kept_sha256"))
 
 
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
