@@ -13,12 +13,6 @@ from pagelake.functions.text import casefold, collapse_spaces
 INDEX_HEADER_BYTES = 22
 INDEX_REPLY_BYTES = 5
 
-# Reply and forward prefixes of a subject.
-REPLY_WORDS = ("re", "fw", "fwd", "aw", "wg", "antw", "tr", "rv", "res", "sv", "vs")
-
-# Words that carry a round number in a file name.
-ROUND_WORDS = ("version", "round", "draft", "iteration", "iter", "rev", "v", "r")
-
 # File name parts of a teaser.
 TEASER_TOKENS = (
     "teaser",
@@ -53,9 +47,10 @@ TEASER = "teaser"
 
 FIRST_RETURN_ROUND = 2
 
+# The reply or forward prefix of a subject, and a round number in a file name.
 _SPACE = r"[\s\x1c-\x1f]*"
-_PREFIX = rf"{_SPACE}(?:{'|'.join(REPLY_WORDS)}){_SPACE}(?:\[\d+\])?{_SPACE}:"
-_ROUND = rf"(?i)(?:^|[ _\-.])(?:{'|'.join(ROUND_WORDS)})[ _\-.]*(\d{{1,3}})(?!\d)"
+_PREFIX = rf"{_SPACE}(?:re|fw|fwd|aw|wg|antw|tr|rv|res|sv|vs){_SPACE}(?:\[\d+\])?{_SPACE}:"
+_ROUND = r"(?i)(?:^|[ _\-.])(?:version|round|draft|iteration|iter|rev|v|r)[ _\-.]*(\d{1,3})(?!\d)"
 
 
 def conversation_depth(index: Column) -> Column:

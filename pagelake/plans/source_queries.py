@@ -14,7 +14,7 @@ from pagelake.plans.pipeline import Run
 from pagelake.plans.registry import query, table
 from pagelake.session import scratch_dir
 from pagelake.sources.catalog import SOURCES
-from pagelake.sources.catalog.quickbooks import UPDATED, WHOLE, resource_name
+from pagelake.sources.catalog.quickbooks import UPDATED, WHOLE
 from pagelake.sources.landing import even_pages, land, store_pages
 
 
@@ -859,7 +859,7 @@ def source_pipedrive(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- accounting --------------------------------------------------------------------
 
 _ENTITIES = [*UPDATED, *WHOLE]
-_BOOKS = [resource_name(e) for e in _ENTITIES]
+_BOOKS = [*UPDATED.values(), *WHOLE.values()]
 
 
 @query(

@@ -4,33 +4,39 @@ from __future__ import annotations
 
 from functools import partial
 
-from pagelake.functions.text import snake_case
 from pagelake.operators.contract import columns
 from pagelake.operators.nested import iso_column
 from pagelake.specs import Cursor, Resource, Source
 
-# Entities with an update cursor, and those read whole.
-UPDATED = (
-    "Customer",
-    "Invoice",
-    "Payment",
-    "Item",
-    "Account",
-    "Vendor",
-    "Bill",
-    "BillPayment",
-    "JournalEntry",
-    "CreditMemo",
-    "RefundReceipt",
-    "Estimate",
-    "PurchaseOrder",
-    "Purchase",
-    "Deposit",
-    "Transfer",
-    "TimeActivity",
-    "Employee",
-)
-WHOLE = ("TaxAgency", "TaxRate", "Class", "Department", "CompanyInfo", "Preferences")
+# Entities with an update cursor and their tables, and those read whole.
+UPDATED = {
+    "Customer": "customers",
+    "Invoice": "invoices",
+    "Payment": "payments",
+    "Item": "items",
+    "Account": "accounts",
+    "Vendor": "vendors",
+    "Bill": "bills",
+    "BillPayment": "bill_payments",
+    "JournalEntry": "journal_entries",
+    "CreditMemo": "credit_memos",
+    "RefundReceipt": "refund_receipts",
+    "Estimate": "estimates",
+    "PurchaseOrder": "purchase_orders",
+    "Purchase": "purchases",
+    "Deposit": "deposits",
+    "Transfer": "transfers",
+    "TimeActivity": "time_activities",
+    "Employee": "employees",
+}
+WHOLE = {
+    "TaxAgency": "tax_agencies",
+    "TaxRate": "tax_rates",
+    "Class": "classes",
+    "Department": "departments",
+    "CompanyInfo": "company_info",
+    "Preferences": "preferences",
+}
 
 # Column contracts.
 _PARTY = (
@@ -111,18 +117,7 @@ CONTRACTS = {
 _META = "MetaData struct<CreateTime:string,LastUpdatedTime:string>"
 
 
-def resource_name(entity: str) -> str:
-    """Plural snake case name of an entity's resource."""
-    name = snake_case(entity)
-    if name in ("company_info", "preferences"):
-        return name
-    if name.endswith("y"):
-        return name[:-1] + "ies"
-    return name + ("es" if name.endswith("s") else "s")
-
-
-def _resource(entity: str, **more: object) -> Resource:
-    name = resource_name(entity)
+def _resource(entity: str, name: str, **more: object) -> Resource:
     return Resource(
         "quickbooks",
         name,
@@ -141,14 +136,15 @@ SOURCE = Source(
         *[
             _resource(
                 entity,
+                name,
                 disposition="merge",
                 cursor=Cursor(
                     "MetaData.LastUpdatedTime", kind="timestamp", floor="1970-01-01T00:00:00Z"
                 ),
                 transforms=(partial(iso_column, path="MetaData.LastUpdatedTime"),),
             )
-            for entity in UPDATED
+            for entity, name in UPDATED.items()
         ],
-        *[_resource(entity) for entity in WHOLE],
+        *[_resource(entity, name) for entity, name in WHOLE.items()],
     ),
 )
