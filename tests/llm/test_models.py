@@ -102,8 +102,8 @@ def test_language_odd(odd_docs, no_docs):
 
 
 def test_quality_of_held_out_documents(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     hidden = G.held_out(F.col("doc_id"), 3, 1)
     model = Q.learn(docs, labels, ~hidden)
     told = Q.classify(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), model).join(labels, "doc_id").where(hidden).collect()
