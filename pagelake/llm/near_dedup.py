@@ -344,7 +344,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .select("doc_id", "text_key", "row", F.coalesce("label", F.col("row")).alias("label")),
         "near-members",
     )
-    classes = members.groupBy("label").agg(F.min(F.struct("doc_id", "row")).alias("f"), F.count("*").alias("class_size"))
+    # Written, so that the join below may split a class that holds many rows.
+    classes = written(members.groupBy("label").agg(F.min(F.struct("doc_id", "row")).alias("f"), F.count("*").alias("class_size")), "near-classes")
     return members.join(classes.hint("merge"), "label").select(
         "doc_id", "text_key", F.col("f.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("f.row")).alias("kept")
     )
