@@ -249,7 +249,7 @@ def _predict(model: Model, settings: Settings):
         names = np.array([*model.languages, "und"], dtype=object)
         k = len(model.languages)
         for batch in batches:
-            for part in slices_by_bytes(batch, "text", 8 << 20):
+            for part in slices_by_bytes(batch, "text", 5 << 20):
                 words = words_of(part.column("text"))
                 path = best_paths(word_scores(model, words), words.rows, settings.switch)
                 counted = model.candidates[words.scripts].any(1) if k else np.zeros(len(words.starts), bool)
