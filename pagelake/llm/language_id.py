@@ -5,16 +5,17 @@ Learning: byte-trigram counts per language over a bounded sample of labelled doc
 whose whole texts are counted by Spark tasks. A word's score in a language is the sum of the log
 probabilities of its trigrams, spaces around it included.
 
+Words are runs of letters and the marks on them; everything else, within ASCII or beyond, parts them.
+
 Prediction, for every word of the whole text: the script range of its first letter says which
 languages are candidates (those that use the script in at least ``script_share`` of their sample
-words); then the best path through the words, where changing the language costs ``switch``, labels
+words; every learned language for a script that none uses or that is not listed); then the best path through the words, where changing the language costs ``switch``, labels
 spans of mixed-language text. All documents of a batch take each step together, so no word is
 visited by the interpreter on its own. The language with the most bytes under the path is the
 document's; the score is its share of them.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties go to the
-alphabetically first language; words of a script that no language uses count for none, and a text
-of only such words is ``und``; without any training row everything is ``und``; languages are the
+alphabetically first language; every text with a letter gets a learned language; without any training row everything is ``und``; languages are the
 non-null ``lang`` values of the training rows, whatever they are; an empty table gives an empty
 result; columns beyond doc_id, text and lang are ignored or passed on, and names that begin with
 ``_lang_`` are the operator's own.
@@ -80,7 +81,10 @@ def _script_tables() -> tuple[np.ndarray, np.ndarray]:
 
 LEAD, SECOND = _script_tables()
 
-#: Bytes that make up words: lower-case letters and everything beyond ASCII.
+#: What parts words beyond ASCII: other characters than letters and marks, and marks that follow no letter.
+NO_WORD = r"(?:^|[\x00-@\[-`{-\x7F])\p{M}[^\x00-\x7F\p{L}]*|[^\x00-\x7F\p{L}\p{M}][^\x00-\x7F\p{L}]*"
+
+#: Bytes that make up words where ``NO_WORD`` is out: lower-case letters and everything beyond ASCII.
 IN_WORD = np.zeros(256, bool)
 IN_WORD[ord("a") : ord("z") + 1] = True
 IN_WORD[0x80:] = True
@@ -98,7 +102,8 @@ class Words:
 
 
 def words_of(texts: pa.Array) -> Words:
-    data, offsets = bytes_of(pc.utf8_lower(pc.fill_null(texts, "")))
+    lowered = pc.utf8_lower(pc.fill_null(texts, ""))
+    data, offsets = bytes_of(pc.replace_substring_regex(lowered, NO_WORD, " "))
     # A space after every row, so that no word or trigram runs over into the next.
     n, rows = len(data), len(offsets) - 1
     spaced = np.full(n + rows + 1, 32, np.uint8)
@@ -174,7 +179,9 @@ def learn(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
     scripts = np.stack([np.frombuffer(summed[x]["scripts"], np.int64) for x in languages], 1).astype(np.float64)
     scores = np.log(grams + settings.smoothing) - np.log(grams.sum(0) + settings.smoothing * SLOTS)
     candidates = scripts >= settings.script_share * np.maximum(scripts.sum(0), 1)
-    candidates[0] = False
+    # Unlisted scripts, and those that no language uses: all languages compete by score.
+    candidates[0] = True
+    candidates[~candidates.any(1)] = True
     return Model(languages, scores.astype(np.float32), candidates)
 
 
@@ -189,10 +196,8 @@ def word_scores(model: Model, words: Words) -> np.ndarray:
         sums = np.concatenate([[0.0], np.cumsum(model.scores[:, k][slots], dtype=np.float64)])
         out[:, k] = sums[words.ends - 1] - sums[words.starts - 1]
     allowed = model.candidates[words.scripts]
-    known = allowed.any(1)
     floor = 20.0 * (words.ends - words.starts)
-    out -= np.where(known[:, None] & ~allowed, floor[:, None], 0.0).astype(np.float32)
-    out[~known] = 0
+    out -= np.where(allowed, 0.0, floor[:, None]).astype(np.float32)
     return out
 
 
@@ -252,10 +257,8 @@ def _predict(model: Model, settings: Settings):
             for part in slices_by_bytes(batch, "text", 5 << 20):
                 words = words_of(part.column("text"))
                 path = best_paths(word_scores(model, words), words.rows, settings.switch)
-                counted = model.candidates[words.scripts].any(1) if k else np.zeros(len(words.starts), bool)
-                weight = np.where(counted, words.ends - words.starts, 0)
                 share = np.zeros((len(part), max(k, 1)))
-                np.add.at(share, (words.rows, path), weight)
+                np.add.at(share, (words.rows, path), words.ends - words.starts if k else 0)
                 total = share.sum(1)
                 label = np.where((total > 0) & (k > 0), share.argmax(1), k)
                 score = np.where(total > 0, share.max(1) / np.maximum(total, 1), 0.0)

@@ -98,6 +98,29 @@ def test_language_odd(odd_docs, no_docs):
     assert G.identify(no_docs, model).collect() == []
 
 
+def test_words_are_runs_of_letters():
+    import pyarrow as pa
+
+    texts = ["\u201cHello\u201d \u00abmonde\u00bb \u00bfqu\u00e9\u00a0tal", "\u3000\u300c\u4f60\u597d\u300d\u4e16", "\U0001f600\ufe0f 1\ufe0f\u20e3 \u0301", "\u0e17\u0e35\u0e48 e\u0301t", None]
+    found = G.words_of(pa.array(texts))
+    words = [bytes(found.data[a:b]).decode() for a, b in zip(found.starts, found.ends, strict=True)]
+    assert words == ["hello", "monde", "qu\u00e9", "tal", "\u4f60\u597d", "\u4e16", "\u0e17\u0e35\u0e48", "e\u0301t"]
+    assert [G.SCRIPTS[x] for x in found.scripts] == ["latin"] * 4 + ["han"] * 2 + ["thai", "latin"] and found.rows.tolist() == [0] * 4 + [1] * 2 + [3] * 2
+
+
+def test_every_text_with_a_letter_gets_a_language(spark):
+    lines = {"en": "the house and the garden of the king with that", "ka": "\u10d4\u10e1 \u10d0\u10e0\u10d8\u10e1 \u10e9\u10d5\u10d4\u10dc\u10d8 \u10e1\u10d0\u10ee\u10da\u10d8", "zh": "\u3000\u300c\u8fd9\u662f\u6211\u4eec\u7684\u5bb6\u300d"}
+    frame = spark.createDataFrame([(3 * i + n, t, lang) for i in range(40) for n, (lang, t) in enumerate(lines.items())], "doc_id long, text string, lang string")
+    model = G.learn(frame, F.lit(True))
+    asked = [(1, lines["ka"], "ka"), (2, lines["zh"], "zh"), (3, "\u201cgarden\u201d", "en"), (4, "\u00bfking?", "en"), (5, "\u10e1\u10d0\u10ee\u10da\u10d8", "ka")]
+    asked += [(6, "\u1781\u17d2\u1798\u17c2\u179a", None), (7, "\u043c\u0438\u0440", None)]
+    docs = spark.createDataFrame(asked, "doc_id long, text string, want string")
+    told = {r["doc_id"]: r for r in G.identify(docs, model).collect()}
+    assert all(told[i]["lang_pred"] == want for i, _, want in asked if want)
+    assert all(told[i]["lang_pred"] in model.languages and told[i]["score"] > 0 for i, *_ in asked)
+    assert G.in_a_language(docs, model).count() == len(asked)
+
+
 # --- quality -----------------------------------------------------------------------
 
 
