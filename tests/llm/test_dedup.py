@@ -255,6 +255,18 @@ def test_lines_odd(odd_docs, no_docs):
     assert L.dedup_lines(no_docs).collect() == []
 
 
+def test_short_lines_and_any_whitespace(spark):
+    short = ["Of.", "And ornd.", "\u8fd9\u662f\u6211\u4eec\u7684\u5bb6", "Page %d", "\u540d\u524d\u3000\u3042\u3044 %d", "id\tname\t%d\tx"]
+    numbers = ["%d", "\u7b2c%d\u7ae0", "%d\t7%d"]
+    text = lambda i: "\n".join([s.replace("%d", str(i)) for s in short + numbers] + ["", " \t\u3000", "end"])
+    docs = spark.createDataFrame([(i, text(i)) for i in range(6)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(docs).collect()}
+    assert got[0] == text(0)
+    # Each number line is another one, and blank lines stay.
+    for i in range(1, 6):
+        assert got[i].split("\n") == [s.replace("%d", str(i)) for s in numbers] + ["", " \t\u3000"]
+
+
 # --- benchmark ---------------------------------------------------------------------
 
 
