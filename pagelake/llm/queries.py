@@ -11,6 +11,7 @@ from pagelake.llm import language_id, quality
 from pagelake.llm.decontaminate import leaks
 from pagelake.llm.exact_dedup import exact_dedup
 from pagelake.llm.language_id import held_out
+from pagelake.llm.line_dedup import Settings as LineSettings
 from pagelake.llm.line_dedup import dedup_lines
 from pagelake.llm.mixing import mixing_weights
 from pagelake.llm.near_dedup import near_duplicates
@@ -50,7 +51,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the lines of recurring templates."""
-    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    kept = dedup_lines(table(spark, sf_dir, "documents"), LineSettings(every_template=True))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     counts = [F.col("_line_count").alias("n_lines"), F.col("_line_dropped").alias("n_dropped")]
     return kept.select("doc_id", *counts, digest.alias("kept_sha256"))

@@ -267,6 +267,33 @@ def test_short_lines_and_any_whitespace(spark):
         assert got[i].split("\n") == [s.replace("%d", str(i)) for s in numbers] + ["", " \t\u3000"]
 
 
+@pytest.mark.parametrize("leaf_forms", [10, 10_000])
+def test_every_template_of_a_leaf(spark, monkeypatch, leaf_forms):
+    """A leaf with an unrelated frequent line, against leaders taken one by one."""
+    monkeypatch.setattr(L, "LEAF_FORMS", leaf_forms)
+    rng = random.Random(3)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    kinds = ["For more on this subject see also pages", "For more details please contact our colleague %s", "For more %s of the house of %s"]
+    docs = [(i, kinds[0] if i < 20 else re.sub("%s", lambda _: name(), kinds[1 + i % 2])) for i in range(60)]
+    docs += [(i, "For more " + " ".join(rng.choice("uvwxyz") for _ in range(6))) for i in range(60, 80)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    held = Counter(t for _, t in docs)
+    keys = leader_keys(spark, docs)
+    left, template = sorted(held, key=lambda f: (held[f], keys[f]), reverse=True), {}
+    while left:
+        lead = left[0].split(" ")
+        taken = [f for f in left if len(f.split(" ")) == len(lead) and sum(map(str.__eq__, f.split(" "), lead)) >= 0.7 * len(lead)]
+        template |= dict.fromkeys(taken, left[0])
+        left = [f for f in left if f not in taken]
+    groups = defaultdict(list)
+    for i, t in docs:
+        groups[template[t]].append(i)
+    assert sum(len(g) >= 5 for g in groups.values()) >= 3
+    want = sorted(i for g in groups.values() for i in (g if len(g) < 5 else [min(g)]))
+    got = L.dedup_lines(frame, L.Settings(every_template=True))
+    assert sorted(r["doc_id"] for r in got.where("text <> ''").collect()) == want
+
+
 # --- benchmark ---------------------------------------------------------------------
 
 
