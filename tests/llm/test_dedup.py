@@ -267,10 +267,8 @@ def test_short_lines_and_any_whitespace(spark):
         assert got[i].split("\n") == [s.replace("%d", str(i)) for s in numbers] + ["", " \t\u3000"]
 
 
-@pytest.mark.parametrize("leaf_forms", [10, 10_000])
-def test_every_template_of_a_leaf(spark, monkeypatch, leaf_forms):
+def test_every_template_of_a_leaf(spark):
     """A leaf with an unrelated frequent line, against leaders taken one by one."""
-    monkeypatch.setattr(L, "LEAF_FORMS", leaf_forms)
     rng = random.Random(3)
     name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     kinds = ["For more on this subject see also pages", "For more details please contact our colleague %s", "For more %s of the house of %s"]
@@ -294,6 +292,19 @@ def test_every_template_of_a_leaf(spark, monkeypatch, leaf_forms):
     assert sorted(r["doc_id"] for r in got.where("text <> ''").collect()) == want
 
 
+@pytest.mark.parametrize("every", [False, True])
+def test_documents_of_a_template_count_once(spark, every):
+    names = ["Alice Smith", "Bob Jones", "Cy Brown", "Di Green", "Ed White", "Flo Black"]
+    line = "For more details on that please contact %s"
+    texts = ["\n".join(line % n for n in names[:4]), line % names[4]]
+    twice = lambda docs: {r["doc_id"]: r["text"] for r in L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), L.Settings(every_template=every)).collect()}
+    docs = list(enumerate(texts))
+    assert twice(docs) == dict(docs)
+    # In five documents it recurs.
+    docs += [(2, line % names[5]), (3, line % "Gil Grey"), (4, line % "Hal Gold")]
+    assert twice(docs) == {0: texts[0], 1: "", 2: "", 3: "", 4: ""}
+
+
 # --- benchmark ---------------------------------------------------------------------
 
 
