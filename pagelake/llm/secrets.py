@@ -4,14 +4,15 @@ Each whole text is scanned for labelled assignments, access key ids and long hex
 base kinds), and for opaque tokens: other runs of token characters that mix letters and digits
 densely. The value of every candidate is hashed. Over the corpus, the distinct repositories and
 distinct owners of each hash are counted: a value in the hands of many owners is an example that
-was widely copied, one that stays with few owners and looks random is a live-looking credential.
+was widely copied, and so is one in more than ``LIVE_REPOS`` repositories whatever its owners; one that
+stays with few of both and looks random is a live-looking credential.
 
 Base spans are always reported. The method adds the opaque tokens that look live (kind ``opaque``)
 and tells live spans from examples. A document is a repository; its ``source`` is the owner.
 
 Defined results: a null text counts as empty; a null source is an owner of its own; a value seen
-several times in one row counts once for it; repeated doc_ids are repositories of their own; an
-empty table gives an empty result; other columns are ignored whatever their names.
+several times in one row counts once for it; rows of one doc_id are one repository, and so are those of
+null doc_ids; an empty table gives an empty result; other columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 OPAQUE_DIGITS = 0.1
 
-#: Bits per character from which a value looks random, and owners up to which it is one's own.
-LIVE_BITS, LIVE_OWNERS = 3.0, 2
+#: Bits per character from which a value looks random, and owners and repositories up to which it is one's own.
+LIVE_BITS, LIVE_OWNERS, LIVE_REPOS = 3.0, 2, 20
 
 #: Quick tests of a whole column; a text that passes none holds no candidate.
 MAY_HOLD = (r"(?i)(passw|secret|token|api_?key)", r"AKIA[A-Z0-9]", r"[0-9a-f]{16}")
@@ -121,15 +122,16 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """value_hash, n_repos, n_owners of rows (value_hash, owner), one for each repository.
+    """value_hash, n_repos, n_owners: distinct ones of rows (value_hash, owner, doc_id).
 
     Both steps combine in map tasks, so a value that a third of all documents hold is no hot key.
     """
-    by_owner = candidates.groupBy("value_hash", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("value_hash").agg(F.sum("n").alias("n_repos"), F.count("*").alias("n_owners"))
+    # In a struct, null counts as a value.
+    distinct = {n: F.count_distinct(F.struct(c)).alias(n) for n, c in (("n_repos", "doc_id"), ("n_owners", "owner"))}
+    return candidates.groupBy("value_hash").agg(*distinct.values())
 
 
-def scan_secrets(docs: DataFrame, *, owner: str = "source", live_owners: int = LIVE_OWNERS) -> DataFrame:
+def scan_secrets(docs: DataFrame, *, owner: str = "source", live_owners: int = LIVE_OWNERS, live_repos: int = LIVE_REPOS) -> DataFrame:
     """One row per document: counts and digest of the base spans, all spans, live and example counts.
 
     doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_opaque, n_live, n_example.
@@ -139,20 +141,21 @@ def scan_secrets(docs: DataFrame, *, owner: str = "source", live_owners: int = L
     shape = f"doc_id {id_type}, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, found {SPAN_SQL}"
     scanned = written(chosen.mapInArrow(_scan, shape).withColumn("row", F.monotonically_increasing_id()), "secret-spans")
     holding = scanned.where(F.size("found") > 0)
-    values = holding.select("owner", F.explode(F.array_distinct(F.col("found.value_hash"))).alias("value_hash"))
+    values = holding.select("owner", "doc_id", F.explode(F.array_distinct(F.col("found.value_hash"))).alias("value_hash"))
     owned = ownership(values)
     judged = (
         holding.select("row", F.explode("found").alias("s"))
         .select("row", "s.*")
         .join(owned, "value_hash")
-        .withColumn("live", F.col("random") & (F.col("n_owners") <= live_owners))
+        .withColumn("example", (F.col("n_owners") > live_owners) | (F.col("n_repos") > live_repos))
+        .withColumn("live", F.col("random") & ~F.col("example"))
         .where((F.col("kind") != "opaque") | F.col("live"))
         .groupBy("row")
         .agg(
             F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind"))).alias("s"),
             F.count_if(F.col("kind") == "opaque").alias("n_opaque"),
             F.count_if("live").alias("n_live"),
-            F.count_if(F.col("n_owners") > live_owners).alias("n_example"),
+            F.count_if("example").alias("n_example"),
         )
     )
     spans = F.array_join(F.transform("s", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

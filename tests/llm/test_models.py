@@ -215,6 +215,18 @@ def test_secrets(spark):
     assert got.agg(F.sum("n_opaque"), F.sum("n_example")).first()[0] > 0
 
 
+def test_secrets_copied_within_one_source(spark):
+    wide, own, again = "Qx7Lm2Zp9Rt4Vb6Ny1Kc8Ws3", "Hd5Jf8Gq2Ta7Ue4Xi9Om1Pz6", "Cv3Bn8Mk5Lj2Hg7Fd4Sa9Qw1"
+    docs = [(i, "hot", f"see {wide}") for i in range(S.LIVE_REPOS + 1)] + [(100 + i, "hot", f"see {own}") for i in range(S.LIVE_REPOS)]
+    # Rows of one doc_id are one repository.
+    docs += [(200, "hot", f"see {again}, row {i}") for i in range(S.LIVE_REPOS + 5)]
+    got = S.scan_secrets(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()
+    assert all((r["n_opaque"], r["n_live"]) == ((0, 0) if r["doc_id"] < 100 else (1, 1)) for r in got)
+    labelled = [(i, "hot", f"token={wide}") for i in range(S.LIVE_REPOS + 1)]
+    got = S.scan_secrets(spark.createDataFrame(labelled, "doc_id long, source string, text string")).collect()
+    assert all((r["n_assign"], r["n_live"], r["n_example"]) == (1, 0, 1) for r in got)
+
+
 def test_secrets_odd(spark, odd_docs, no_docs, sf_dir):
     assert S.scan_secrets(odd_docs).count() == odd_docs.count() and S.scan_secrets(no_docs).collect() == []
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
