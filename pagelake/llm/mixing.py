@@ -2,14 +2,16 @@
 
 Token counts are added up by source, language and topic. Raking scales the cells of that table in
 turn to the wanted marginal of each attribute until all three hold; the result is a weight for each
-cell. A document is then kept with probability ``budget * weight``, at most 1; the factor is chosen
+cell. Where the targets contradict each other the weights settle short of them: raking ends when a round
+changes nothing any more, ``gap`` says how far off it is, and a warning is given. A document is then kept with probability ``budget * weight``, at most 1; the factor is chosen
 so that the expected tokens come to ``share`` of all. The draw is a hash of the doc_id, so a rerun
 keeps the same documents.
 
 Target marginals default to the present ones raised to ``power`` and scaled to 1, which lifts small
 sources, languages and topics against large ones. The table has a row for each combination that
-occurs and stays in Spark tables throughout: each raking step is a sum by one attribute, joined
-back, and lineage is cut by writing.
+occurs. Up to ``CELLS_A_TASK`` combinations are raked by one task, however many rounds that takes; more
+stay in Spark tables, where each raking step is a sum by one attribute, joined back, and each round is
+one job that cuts lineage by writing.
 
 Topic, where no column names one, is the kind of matter a text is by its make-up (``TOPICS``).
 Tokens are counted as the spaces and line breaks of a text and one more.
@@ -21,8 +23,11 @@ doc_id is drawn as 0; repeated rows are drawn alike; an empty table gives an emp
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -33,14 +38,18 @@ TOPICS = ("table", "note", "list", "prose")
 
 ATTRIBUTES = ("source", "lang", "topic")
 
+#: Combinations that one task rakes.
+CELLS_A_TASK = 1_000_000
+
 
 @dataclass(frozen=True)
 class Targets:
     power: float = 0.5
     share: float = 0.5
-    rounds: int = 30
-    #: Raking ends with a round that changes no cell by more than this share of it.
-    tolerance: float = 1e-4
+    #: Raking ends when no marginal is further than this from its target, as a share of all.
+    tolerance: float = 1e-6
+    #: Or when a round moves no cell by more than this share of all: the targets contradict each other.
+    stalled: float = 1e-12
     #: Wanted shares by attribute and value in place of the default, e.g. {"lang": {"en": 0.5, "de": 0.5}}.
     given: dict[str, dict[str, float]] | None = None
 
@@ -93,33 +102,76 @@ def _targets(cells: DataFrame, attribute: str, targets: Targets) -> DataFrame:
 
 
 def _fitted(cells: DataFrame, attribute: str, wanted: DataFrame) -> DataFrame:
-    """One raking step: every value of the attribute gets its wanted share. ``change`` keeps the largest step so far."""
+    """One raking step: every value of the attribute gets its wanted share. ``gap`` keeps the largest distance met so far."""
     held = cells.groupBy(attribute).agg(F.sum("mass").alias("held")).join(wanted, attribute)
     factor = F.when(F.col("held") > 0, F.col("want") / F.col("held")).otherwise(0.0)
-    return cells.join(held.select(attribute, factor.alias("factor")), attribute).select(
-        *ATTRIBUTES, "tokens", (F.col("mass") * F.col("factor")).alias("mass"), F.greatest("change", F.abs(F.col("factor") - 1)).alias("change")
+    step = held.select(attribute, factor.alias("factor"), F.abs(F.col("held") - F.col("want")).alias("off"))
+    return cells.join(step, attribute).select(
+        *ATTRIBUTES, "tokens", "before", (F.col("mass") * F.col("factor")).alias("mass"), F.greatest("gap", "off").alias("gap")
     )
 
 
+def _rake_rounds(current: DataFrame, wanted: dict[str, DataFrame], targets: Targets) -> DataFrame:
+    """The cells with their fitted mass and gap, one job a round."""
+    while True:
+        current = current.withColumns({"before": F.col("mass"), "gap": F.lit(0.0)})
+        for a in ATTRIBUTES:
+            current = _fitted(current, a, wanted[a])
+        # Both are noted while the round is written.
+        watch = Observation()
+        noted = current.observe(watch, F.max("gap").alias("gap"), F.max(F.abs(F.col("mass") - F.col("before"))).alias("moved"))
+        current = written(noted, "mixing-round").drop("before", "gap")
+        gap, moved = watch.get["gap"] or 0.0, watch.get["moved"] or 0.0
+        if gap <= targets.tolerance or moved <= targets.stalled:
+            return current.withColumn("gap", F.lit(gap))
+
+
+def _rake_task(targets: Targets):
+    """The same in one task, over rows with the wanted share of each of their values."""
+
+    def rake_all(table: pa.Table) -> pa.Table:
+        codes = [table.column(a).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) for a in ATTRIBUTES]
+        wants = []
+        for a, code in zip(ATTRIBUTES, codes, strict=True):
+            want = np.zeros(code.max() + 1)
+            want[code] = table.column(f"want_{a}").to_numpy()
+            wants.append(want)
+        mass = table.column("mass").to_numpy().copy()
+        while True:
+            before, gap = mass, 0.0
+            for code, want in zip(codes, wants, strict=True):
+                held = np.bincount(code, mass, len(want))
+                gap = max(gap, float(np.abs(held - want).max()))
+                mass = mass * np.divide(want, held, out=np.zeros_like(want), where=held > 0)[code]
+            if gap <= targets.tolerance or np.abs(mass - before).max() <= targets.stalled:
+                break
+        kept = table.select([*ATTRIBUTES, "tokens"])
+        return kept.append_column("mass", pa.array(mass)).append_column("gap", pa.array(np.full(len(mass), gap)))
+
+    return rake_all
+
+
 def rake(cells: DataFrame, targets: Targets = Targets()) -> DataFrame:
-    """source, lang, topic, tokens, weight of each cell, from rows with its tokens.
+    """source, lang, topic, tokens, weight, gap of each cell, from rows with its tokens.
 
-    Weights average 1 over the tokens.
+    Weights average 1 over the tokens; the gap, one for all, is how far the last round found a marginal from its target.
     """
     cells = written(cells.where("tokens > 0").withColumn("tokens", F.col("tokens").cast("double")), "mixing-cells")
     wanted = {a: written(_targets(cells, a, targets), f"mixing-{a}") for a in ATTRIBUTES}
-    current = cells.withColumn("mass", F.col("tokens"))
-    for _ in range(targets.rounds):
-        current = current.withColumn("change", F.lit(0.0))
+    size = cells.agg(F.count("*").alias("n"), F.coalesce(F.sum("tokens"), F.lit(0.0)).alias("t")).first()
+    total = size["t"]
+    current = cells.withColumn("mass", F.col("tokens") / (total or 1.0))
+    if size["n"] <= CELLS_A_TASK:
         for a in ATTRIBUTES:
-            current = _fitted(current, a, wanted[a])
-        # The largest change is noted while the round is written: one job a round.
-        watch = Observation()
-        current = written(current.observe(watch, F.max("change").alias("most")), "mixing-round").drop("change")
-        if (watch.get["most"] or 0.0) <= targets.tolerance:
-            break
-    total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0.0)).alias("t")).first()["t"]
-    return current.select(*ATTRIBUTES, "tokens", (F.col("mass") * total / F.col("tokens")).alias("weight"))
+            current = current.join(wanted[a].withColumnRenamed("want", f"want_{a}"), a)
+        shape = ", ".join(f"{a} string" for a in ATTRIBUTES) + ", tokens double, mass double, gap double"
+        current = written(current.groupBy().applyInArrow(_rake_task(targets), shape), "mixing-raked")
+    else:
+        current = _rake_rounds(current, wanted, targets)
+    gap = current.agg(F.max("gap").alias("gap")).first()["gap"] or 0.0
+    if gap > targets.tolerance:
+        warnings.warn(f"mixing targets contradict each other: a marginal is {gap:.3g} of all tokens off", stacklevel=2)
+    return current.select(*ATTRIBUTES, "tokens", (F.col("mass") * total / F.col("tokens")).alias("weight"), "gap")
 
 
 #: Factors tried in one pass, and passes; each narrows the bounds to one step of the last.
@@ -141,7 +193,7 @@ def budget_factor(cells: DataFrame, share: float) -> float:
 
 
 def _drawn(told: DataFrame, targets: Targets) -> DataFrame:
-    """Rows with source, lang, topic and n_tokens, and weight, probability and sampled added."""
+    """Rows with source, lang, topic and n_tokens, and weight, probability, gap and sampled added."""
     counted = told.groupBy(*(f"_{a}" for a in ATTRIBUTES)).agg(F.sum("_tokens").alias("tokens"))
     weights = written(rake(counted.withColumnsRenamed({f"_{a}": a for a in ATTRIBUTES}), targets), "mixing-weights")
     factor = budget_factor(weights, targets.share)
@@ -149,22 +201,24 @@ def _drawn(told: DataFrame, targets: Targets) -> DataFrame:
     chances = weights.select(
         *(F.col(a).alias(f"_{a}") for a in ATTRIBUTES),
         F.col("weight").alias("_weight"),
+        F.col("gap").alias("_gap"),
         F.least(F.lit(1.0), F.col("weight") * factor).alias("_probability"),
     )
     drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.lit("mixing")), F.lit(1 << 53)) / float(1 << 53)
     return (
         told.join(chances, [f"_{a}" for a in ATTRIBUTES], "left")
         .na.fill(1.0, ["_weight", "_probability"])
+        .na.fill(0.0, ["_gap"])
         .withColumn("_sampled", drawn < F.col("_probability"))
     )
 
 
 def mixing_weights(docs: DataFrame, targets: Targets = Targets(), topic: str | None = None) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, weight, probability, sampled."""
+    """One row per document: doc_id, source, lang, topic, n_tokens, weight, probability, gap, sampled."""
     needed = list(dict.fromkeys(["doc_id", "source", "lang", *([topic] if topic else []), "text"]))
     told = described(docs.select(*needed), topic)
     told = written(told.select("doc_id", *(f"_{a}" for a in ATTRIBUTES), "_tokens"), "mixing-documents")
-    shown = {f"_{a}": a for a in ATTRIBUTES} | {"_tokens": "n_tokens", "_weight": "weight", "_probability": "probability", "_sampled": "sampled"}
+    shown = {f"_{a}": a for a in ATTRIBUTES} | {"_tokens": "n_tokens", "_weight": "weight", "_probability": "probability", "_gap": "gap", "_sampled": "sampled"}
     return _drawn(told, targets).withColumnsRenamed(shown).select("doc_id", *shown.values())
 
 

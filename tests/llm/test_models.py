@@ -301,6 +301,31 @@ def test_raking(spark, sf_dir):
     assert kept.columns == [*docs.columns, "mix_weight", "mix_probability"]
 
 
+@pytest.mark.parametrize("cells_a_task", [0, 1_000_000])
+def test_raking_until_all_hold_or_nothing_moves(spark, monkeypatch, cells_a_task):
+    monkeypatch.setattr(M, "CELLS_A_TASK", cells_a_task)
+    shape = "source string, lang string, topic string, tokens long"
+    tied = [("s0", "en", "prose", 10**9), ("s1", "de", "prose", 10**6), ("s1", "en", "note", 1000), ("s0", "de", "note", 10)]
+    if cells_a_task:
+        got = M.rake(spark.createDataFrame(tied, shape)).collect()
+        total = sum(t for *_, t in tied)
+        for k in range(3):
+            have, held = Counter(), Counter()
+            for c in tied:
+                have[c[k]] += c[3]
+            for r in got:
+                held[r[k]] += r["weight"] * r["tokens"] / total
+            want = {v: t**0.5 / sum(x**0.5 for x in have.values()) for v, t in have.items()}
+            assert all(held[v] == pytest.approx(w, abs=1e-5) for v, w in want.items())
+        assert all(r["gap"] <= 1e-6 for r in got)
+    # One language a source, and shares that differ.
+    apart = spark.createDataFrame([("a", "en", "prose", 30), ("b", "de", "prose", 10)], shape)
+    given = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.8, "de": 0.2}}
+    with pytest.warns(UserWarning, match="contradict"):
+        got = M.rake(apart, M.Targets(given=given)).collect()
+    assert all(r["gap"] == pytest.approx(0.3) for r in got)
+
+
 def test_given_targets(spark):
     docs = spark.createDataFrame([(i, "a b c d", "s", "en" if i % 4 else "de") for i in range(400)], "doc_id long, text string, source string, lang string")
     got = M.mixing_weights(docs, M.Targets(given={"lang": {"en": 0.5, "de": 0.5}}, share=0.25))
