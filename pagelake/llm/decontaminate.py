@@ -125,10 +125,11 @@ def _search(block, size: int, threshold: float, columns: list[str]):
     return search
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, *, size: int = SHINGLE, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(doc_id, item_id, n_item, n_shared, containment) of every item that a document holds."""
+def leaks(docs: DataFrame, benchmark: DataFrame, *, size: int = SHINGLE, threshold: float = THRESHOLD, block: int = BLOCK, keyed: bool = False) -> DataFrame:
+    """(doc_id, item_id, n_item, n_shared, containment) of every item that a document holds; ``keyed`` adds the hash of its text."""
     spark = docs.sparkSession
-    chosen = docs.select("doc_id", "text")
+    own = ["doc_id", "text_key"] if keyed else ["doc_id"]
+    chosen = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").select(*own, "text")
     numbered = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     total = numbered.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     blocks = max(1, -(-total["n"] // block), -(-total["chars"] // BLOCK_CHARS))
@@ -141,7 +142,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, size: int = SHINGLE, thresho
         items = [(r["item_id"], r["text"]) for r in rows.select("item_id", "text").collect()]
         sent = spark.sparkContext.broadcast(items)
         doc_type = chosen.schema["doc_id"].dataType.simpleString()
-        pairs = chosen.mapInArrow(_search(sent, size, threshold, ["doc_id"]), f"doc_id {doc_type}, {FOUND}")
+        pairs = chosen.mapInArrow(_search(sent, size, threshold, own), f"doc_id {doc_type}, {'text_key long, ' if keyed else ''}{FOUND}")
         found = pairs if found is None else found.unionByName(pairs)
     return found
 
@@ -149,7 +150,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, size: int = SHINGLE, thresho
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, that hold no benchmark item.
 
-    Rows with a null doc_id are never dropped: nothing tells them apart.
+    Each row is judged by its own text, whatever its doc_id.
     """
-    held = written(leaks(docs, benchmark, size=size, threshold=threshold).select("doc_id").distinct(), "leaking")
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    held = leaks(docs, benchmark, size=size, threshold=threshold, keyed=True)
+    held = written(held.select(F.col("doc_id").alias("_leak_doc"), F.col("text_key").alias("_leak_text")).distinct(), "leaking")
+    same = F.col("doc_id").eqNullSafe(F.col("_leak_doc")) & (F.xxhash64("text") == F.col("_leak_text"))
+    return docs.join(held, same, "left_anti").select(docs.columns)

@@ -342,3 +342,10 @@ def test_decontaminate(spark, odd_docs, no_docs):
     assert Counter(r["doc_id"] for r in left.collect()) == Counter({3: 1, 4: 1, None: 2, 5: 2, 6: 1, 7: 1, 8: 1})
     assert decontaminate(no_docs, items).collect() == []
     assert decontaminate(odd_docs, items.limit(0)).count() == odd_docs.count()
+
+
+def test_decontaminate_judges_each_row(spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    leak, clean = "so one two three four five six seven it is", "nothing of that kind is in here at all"
+    docs = spark.createDataFrame([(None, leak), (None, clean), (1, leak), (1, clean), (2, None)], "doc_id long, text string")
+    assert rows_of(decontaminate(docs, items), "doc_id", "text") == sorted([(None, clean), (1, clean), (2, None)], key=repr)
