@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.llm import language_id, quality
 from pagelake.llm.decontaminate import leaks
+from pagelake.llm.divergence import audit_sources
 from pagelake.llm.exact_dedup import exact_dedup
 from pagelake.llm.language_id import held_out
 from pagelake.llm.line_dedup import Settings as LineSettings
 from pagelake.llm.line_dedup import dedup_lines
 from pagelake.llm.mixing import mixing_weights
 from pagelake.llm.near_dedup import near_duplicates
+from pagelake.llm.periodic import periodic_runs
 from pagelake.llm.secrets import scan_secrets
 from pagelake.llm.stage import table, written
 from pagelake.llm.suffix_dedup import remove_repeats
+from pagelake.llm.url_filter import filter_urls
 from pagelake.llm.warc import audit, build_tree, manifest, record
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +156,125 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_weights(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms each stands out by."""
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term
+), x AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+), y AS (
+  SELECT lang, source, term, n, sum(n) OVER g AS n_group, count(*) OVER g AS v, sum(n) OVER t AS total, sum(n) OVER l AS n_lang
+  FROM x WINDOW g AS (PARTITION BY lang, source), t AS (PARTITION BY lang, term), l AS (PARTITION BY lang)
+), z AS (
+  SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (n_group + 2 * v) AS BIGINT) AS p,
+    CAST(1 + (1000000000::HUGEINT * (total + 2)) // (n_lang + 2 * v) AS BIGINT) AS q FROM y
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM z a JOIN z b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM z WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def _repeating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            number = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+            words = text.split() if text is not None and number % 10 == 0 else []
+            if words:
+                n, g = len(words), number // 10
+                start = g % n
+                period = 1 + (n - start) // (3 + g % 8)
+                words = words[:start] + [words[start + i % period] for i in range(n - start)]
+                text = b" ".join(words)
+            texts.append(text)
+        yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of each document, after those of a tenth of the ids were made to repeat."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary"))
+    found = periodic_runs(docs.mapInArrow(_repeating, docs.schema))
+    # Most periods first: fractions compared exactly, then by start and period.
+    by_exponent = F.expr(
+        """array_sort(runs, (a, b) -> CASE
+             WHEN a.length * b.period > b.length * a.period THEN -1 WHEN a.length * b.period < b.length * a.period THEN 1
+             WHEN a.start < b.start THEN -1 WHEN a.start > b.start THEN 1
+             WHEN a.period < b.period THEN -1 WHEN a.period > b.period THEN 1 ELSE 0 END)"""
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (
+        found.withColumn("best", F.get(by_exponent, F.lit(0)))
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            "best.start",
+            "best.length",
+            "best.period",
+            F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+            F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+            "collapsed_sha256",
+        )
+    )
+
+
+#: Rules (host, path, verdict) of the query.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's URL; one that no rule lists is allowed."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP13_SQL = """
+WITH u AS (
+  SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '') AS h,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages
+), p AS (
+  SELECT row_number() OVER () AS r, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u
+), rules(rule_host, rule_path, says) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), f AS (
+  SELECT r, rule_host || rule_path AS rule, says,
+    row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS best
+  FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM p LEFT JOIN (SELECT * FROM f WHERE best = 1) USING (r)
+"""
+
+
 QUERIES: dict[str, Run] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -162,10 +286,15 @@ QUERIES: dict[str, Run] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op5_warc_fixity": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op13_url_filter": OP13_SQL,
 }
