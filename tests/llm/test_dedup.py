@@ -184,48 +184,61 @@ def test_hashed_words_are_words():
 # --- lines -------------------------------------------------------------------------
 
 
+def form_of(line):
+    """The tokens of a line, those with digits masked unless all have some."""
+    tokens = line.split()
+    if tokens and not all(re.search("[0-9]", t) for t in tokens):
+        tokens = ["<*>" if re.search("[0-9]", t) else t for t in tokens]
+    return " ".join(tokens)
+
+
 def lines_brute(docs, leader_key, settings=L.Settings()):
-    mask = lambda line: " ".join("<*>" if re.search("[0-9]", t) else t for t in line.split(" "))
+    """Leaders taken one by one in each leaf; documents of a template counted once."""
     held = defaultdict(set)
     for i, t in docs:
-        for line in (t or "").split("\n") if t is not None else []:
-            form = mask(line)
-            if form and len(form.split(" ")) >= settings.min_tokens:
-                held[form].add((i, t))
+        for line in (t or "").split("\n"):
+            if form_of(line):
+                held[form_of(line)].add((i, t))
     leaves = defaultdict(list)
     for form in held:
         tokens = form.split(" ")
         leaves[len(tokens), tuple(tokens[: L.LEADING])].append(form)
     template = {}
     for forms in leaves.values():
-        leader = max(forms, key=lambda f: (len(held[f]), leader_key[f]))
-        total = sum(len(held[f]) for f in forms)
-        for form in forms:
-            same = sum(x == y for x, y in zip(form.split(" "), leader.split(" "), strict=True))
-            joins = total >= settings.min_docs and same >= settings.similarity * len(leader.split(" "))
-            template[form] = leader if joins else form
-    n, first = Counter(), {}
+        leaders = []
+        for form in sorted(forms, key=lambda f: (len(held[f]), leader_key[f]), reverse=True):
+            tokens = form.split(" ")
+            like = lambda lead, own=tokens: sum(x == y for x, y in zip(own, lead, strict=True)) >= settings.similarity * len(own)
+            lead = next((x for x in leaders if like(x)), None)
+            if lead is None:
+                leaders.append(tokens)
+            template[form] = " ".join(lead or tokens)
+    in_docs = defaultdict(set)
     for form, t in template.items():
-        n[t] += len(held[form])
-        known = [i for i, _ in held[form] if i is not None]
-        if known:
-            first[t] = min([first[t], *known]) if t in first else min(known)
+        in_docs[t] |= held[form]
+    first = {t: min((i for i, _ in d if i is not None), default=None) for t, d in in_docs.items()}
     out = []
     for i, t in docs:
-        kept = [
-            line
-            for line in (t.split("\n") if t is not None else [])
-            if mask(line) not in template or n[template[mask(line)]] < settings.min_docs or first.get(template[mask(line)]) == i
-        ]
-        out.append((i, None if t is None else "\n".join(kept)))
+        goes = lambda line, i=i: form_of(line) in template and len(in_docs[template[form_of(line)]]) >= settings.min_docs and first[template[form_of(line)]] != i
+        out.append((i, None if t is None else "\n".join(line for line in t.split("\n") if not goes(line))))
     return out
 
 
 def leader_keys(spark, docs):
-    forms = {" ".join("<*>" if re.search("[0-9]", t) else t for t in line.split(" ")) for _, t in docs if t for line in t.split("\n")}
+    forms = {form_of(line) for _, t in docs if t for line in t.split("\n")}
     return {r["f"]: r["k"] for r in spark.createDataFrame([(f,) for f in forms], "f string").select("f", F.xxhash64("f").alias("k")).collect()}
 
 
+def test_unrelated_indented_lines_stay(spark):
+    """Indentation is no likeness, and no difference."""
+    names = "alpha beta gamma delta epsilon zeta eta theta".split()
+    docs = [(i, f"{' ' * 12}{n} = {n[::-1]}") for i, n in enumerate(names)]
+    docs += [(20 + i, f"{' ' * i}return the same   value") for i in range(6)]
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {i: got[i] for i in range(8)} == dict(docs[:8])
+    assert got[20] == docs[8][1] and all(got[20 + i] == "" for i in range(1, 6))
+
+
 def test_lines(spark):
     rng = random.Random(1)
     shared = ["All rights reserved by the owners", "posted 12 times by user7", "read more of this here", "a b"]
@@ -288,16 +301,15 @@ def test_every_template_of_a_leaf(spark):
         groups[template[t]].append(i)
     assert sum(len(g) >= 5 for g in groups.values()) >= 3
     want = sorted(i for g in groups.values() for i in (g if len(g) < 5 else [min(g)]))
-    got = L.dedup_lines(frame, L.Settings(every_template=True))
+    got = L.dedup_lines(frame)
     assert sorted(r["doc_id"] for r in got.where("text <> ''").collect()) == want
 
 
-@pytest.mark.parametrize("every", [False, True])
-def test_documents_of_a_template_count_once(spark, every):
+def test_documents_of_a_template_count_once(spark):
     names = ["Alice Smith", "Bob Jones", "Cy Brown", "Di Green", "Ed White", "Flo Black"]
     line = "For more details on that please contact %s"
     texts = ["\n".join(line % n for n in names[:4]), line % names[4]]
-    twice = lambda docs: {r["doc_id"]: r["text"] for r in L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), L.Settings(every_template=every)).collect()}
+    twice = lambda docs: {r["doc_id"]: r["text"] for r in L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     docs = list(enumerate(texts))
     assert twice(docs) == dict(docs)
     # In five documents it recurs.
