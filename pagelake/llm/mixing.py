@@ -2,10 +2,14 @@
 
 Token counts are added up by source, language and topic. Raking scales the cells of that table in
 turn to the wanted marginal of each attribute until all three hold; the result is a weight for each
-cell. Where the targets contradict each other the weights settle short of them: raking ends when a round
-changes nothing any more, ``gap`` says how far off it is, and a warning is given. A document is then kept with probability ``budget * weight``, at most 1; the factor is chosen
-so that the expected tokens come to ``share`` of all. The draw is a hash of the doc_id, so a rerun
-keeps the same documents.
+cell. Cells that targets leave nothing for would only shrink by 1 / n in n rounds: whenever the rounds
+have doubled, those that shrank with them are tried at nothing, and stay so if all marginals then hold. Where the
+targets contradict each other the weights settle short of them: raking ends when a round changes nothing any more, or
+after ``rounds`` (``job_rounds`` where each is a job); ``gap`` says how far off it is, and a warning is given.
+
+A document is then kept with probability ``budget * weight``, at most 1; the factor is chosen so that
+the expected tokens come to ``share`` of all. The draw is a hash of the doc_id, so a rerun keeps the
+same documents.
 
 Target marginals default to the present ones raised to ``power`` and scaled to 1, which lifts small
 sources, languages and topics against large ones. The table has a row for each combination that
@@ -16,15 +20,16 @@ one job that cuts lineage by writing.
 Topic, where no column names one, is the kind of matter a text is by its make-up (``TOPICS``).
 Tokens are counted as the spaces and line breaks of a text and one more.
 
-Defined results: null source or language is a category of its own (``unknown``); null and empty
-texts have no tokens, get probability 1 and weight 1 and are kept, since they cost nothing; a null
+Defined results: a null source, language or topic is a category of its own, shown as ``unknown`` but not
+mixed with a value of that name (targets name it by None); null and empty texts have no tokens, get
+probability 1 and weight 1 and are kept, since they cost nothing; a null
 doc_id is drawn as 0; repeated rows are drawn alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +55,11 @@ class Targets:
     tolerance: float = 1e-6
     #: Or when a round moves no cell by more than this share of all: the targets contradict each other.
     stalled: float = 1e-12
+    #: Or after so many rounds, in one task and as jobs.
+    rounds: int = 20_000
+    job_rounds: int = 200
     #: Wanted shares by attribute and value in place of the default, e.g. {"lang": {"en": 0.5, "de": 0.5}}.
-    given: dict[str, dict[str, float]] | None = None
+    given: dict[str, dict[str | None, float]] | None = None
 
 
 def _times(text: Column, what: str) -> Column:
@@ -74,14 +82,24 @@ def topic_of(text: Column) -> Column:
     )
 
 
+def _named(value: Column) -> Column:
+    """A category's name inside: null is told from every text."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
+
+
+def _shown(name: str) -> Column:
+    """The category as given, null as ``unknown``."""
+    return F.when(F.col(name) == "", F.lit("unknown")).otherwise(F.substring(name, 2, 1 << 30))
+
+
 def described(docs: DataFrame, topic: str | None = None) -> DataFrame:
-    """``docs`` with _source, _lang, _topic and _tokens."""
+    """``docs`` with _source, _lang, _topic (categories by their inside names) and _tokens."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    subject = topic_of(text) if topic is None else F.coalesce(F.col(topic).cast("string"), F.lit("unknown"))
+    subject = _named(topic_of(text) if topic is None else F.col(topic))
     return docs.withColumns(
         {
-            "_source": F.coalesce(F.col("source").cast("string"), F.lit("unknown")),
-            "_lang": F.coalesce(F.col("lang").cast("string"), F.lit("unknown")),
+            "_source": _named(F.col("source")),
+            "_lang": _named(F.col("lang")),
             "_topic": subject,
             "_tokens": n_tokens(text),
         }
@@ -113,7 +131,7 @@ def _fitted(cells: DataFrame, attribute: str, wanted: DataFrame) -> DataFrame:
 
 def _rake_rounds(current: DataFrame, wanted: dict[str, DataFrame], targets: Targets) -> DataFrame:
     """The cells with their fitted mass and gap, one job a round."""
-    while True:
+    for done in range(1, targets.job_rounds + 1):
         current = current.withColumns({"before": F.col("mass"), "gap": F.lit(0.0)})
         for a in ATTRIBUTES:
             current = _fitted(current, a, wanted[a])
@@ -122,8 +140,46 @@ def _rake_rounds(current: DataFrame, wanted: dict[str, DataFrame], targets: Targ
         noted = current.observe(watch, F.max("gap").alias("gap"), F.max(F.abs(F.col("mass") - F.col("before"))).alias("moved"))
         current = written(noted, "mixing-round").drop("before", "gap")
         gap, moved = watch.get["gap"] or 0.0, watch.get["moved"] or 0.0
-        if gap <= targets.tolerance or moved <= targets.stalled:
-            return current.withColumn("gap", F.lit(gap))
+        if gap <= targets.tolerance or moved <= targets.stalled or done == targets.job_rounds:
+            break
+    return current.withColumn("gap", F.lit(gap))
+
+
+#: A cell that lost this share of its mass while the rounds doubled is on its way to nothing.
+SHRUNK = 0.7
+
+
+def raked(codes: list[np.ndarray], wants: list[np.ndarray], mass: np.ndarray, targets: Targets) -> tuple[np.ndarray, float]:
+    """The fitted mass of the cells, and how far a marginal is from its target."""
+
+    def one_round(mass: np.ndarray) -> tuple[np.ndarray, float]:
+        gap = 0.0
+        for code, want in zip(codes, wants, strict=True):
+            held = np.bincount(code, mass, len(want))
+            gap = max(gap, float(np.abs(held - want).max()))
+            mass = mass * np.divide(want, held, out=np.zeros_like(want), where=held > 0)[code]
+        return mass, gap
+
+    gap, done, marked, mark = 0.0, 0, 32, mass
+    while done < targets.rounds:
+        before = mass
+        mass, gap = one_round(mass)
+        done += 1
+        if gap <= targets.tolerance or np.abs(mass - before).max() <= targets.stalled:
+            break
+        if done == marked:
+            shrinking = (mass > 0) & (mass < SHRUNK * mark)
+            mark, marked = mass, 2 * marked
+            if shrinking.any():
+                tried, off = np.where(shrinking, 0.0, mass), 1.0
+                for _ in range(min(done, targets.rounds - done)):
+                    tried, off = one_round(tried)
+                    done += 1
+                    if off <= targets.tolerance:
+                        return tried, off
+                # What the trial cost counts, but not as rounds of the mass.
+                marked = max(marked, 2 * done)
+    return mass, gap
 
 
 def _rake_task(targets: Targets):
@@ -136,15 +192,7 @@ def _rake_task(targets: Targets):
             want = np.zeros(code.max() + 1)
             want[code] = table.column(f"want_{a}").to_numpy()
             wants.append(want)
-        mass = table.column("mass").to_numpy().copy()
-        while True:
-            before, gap = mass, 0.0
-            for code, want in zip(codes, wants, strict=True):
-                held = np.bincount(code, mass, len(want))
-                gap = max(gap, float(np.abs(held - want).max()))
-                mass = mass * np.divide(want, held, out=np.zeros_like(want), where=held > 0)[code]
-            if gap <= targets.tolerance or np.abs(mass - before).max() <= targets.stalled:
-                break
+        mass, gap = raked(codes, wants, table.column("mass").to_numpy().copy(), targets)
         kept = table.select([*ATTRIBUTES, "tokens"])
         return kept.append_column("mass", pa.array(mass)).append_column("gap", pa.array(np.full(len(mass), gap)))
 
@@ -194,6 +242,9 @@ def budget_factor(cells: DataFrame, share: float) -> float:
 
 def _drawn(told: DataFrame, targets: Targets) -> DataFrame:
     """Rows with source, lang, topic and n_tokens, and weight, probability, gap and sampled added."""
+    if targets.given:
+        inside = {a: {"" if v is None else f"={v}": share for v, share in given.items()} for a, given in targets.given.items()}
+        targets = replace(targets, given=inside)
     counted = told.groupBy(*(f"_{a}" for a in ATTRIBUTES)).agg(F.sum("_tokens").alias("tokens"))
     weights = written(rake(counted.withColumnsRenamed({f"_{a}": a for a in ATTRIBUTES}), targets), "mixing-weights")
     factor = budget_factor(weights, targets.share)
@@ -209,6 +260,8 @@ def _drawn(told: DataFrame, targets: Targets) -> DataFrame:
         told.join(chances, [f"_{a}" for a in ATTRIBUTES], "left")
         .na.fill(1.0, ["_weight", "_probability"])
         .na.fill(0.0, ["_gap"])
+        # What has no tokens costs nothing, whatever the other documents of its cell weigh.
+        .withColumns({c: F.when(F.col("_tokens") == 0, F.lit(1.0)).otherwise(F.col(c)) for c in ("_weight", "_probability")})
         .withColumn("_sampled", drawn < F.col("_probability"))
     )
 
@@ -219,7 +272,8 @@ def mixing_weights(docs: DataFrame, targets: Targets = Targets(), topic: str | N
     told = described(docs.select(*needed), topic)
     told = written(told.select("doc_id", *(f"_{a}" for a in ATTRIBUTES), "_tokens"), "mixing-documents")
     shown = {f"_{a}": a for a in ATTRIBUTES} | {"_tokens": "n_tokens", "_weight": "weight", "_probability": "probability", "_gap": "gap", "_sampled": "sampled"}
-    return _drawn(told, targets).withColumnsRenamed(shown).select("doc_id", *shown.values())
+    drawn = _drawn(told, targets).withColumns({f"_{a}": _shown(f"_{a}") for a in ATTRIBUTES})
+    return drawn.withColumnsRenamed(shown).select("doc_id", *shown.values())
 
 
 def mixed(docs: DataFrame, targets: Targets = Targets(), topic: str | None = None) -> DataFrame:
