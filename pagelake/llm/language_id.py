@@ -213,7 +213,7 @@ def best_paths(scores: np.ndarray, rows: np.ndarray, switch: float) -> np.ndarra
     firsts, lengths = firsts[order], lengths[order]
     going = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), "right")
     best = scores[firsts].astype(np.float64)
-    came_from = np.zeros(n, np.int8)  # the best language of the word before
+    came_from = np.zeros(n, np.int32)  # the best language of the word before
     stays = np.ones((n, k), bool)
     for t in range(1, int(lengths[0])):
         m = going[t]
@@ -247,14 +247,33 @@ def spans_of(words: Words, path: np.ndarray, languages: tuple[str, ...]) -> list
     return [out[r] for r in sorted(out)]
 
 
-def _predict(model: Model, settings: Settings):
+#: Text bytes that take the steps together, for eight languages and fewer the more there are; and the least.
+BATCH_BYTES, LEAST_BYTES = 5 << 20, 1 << 18
+#: Bytes of a model that is sent to the tasks: some thousand languages.
+MODEL_BYTES = 1 << 30
+
+
+def _batch_bytes(model: Model) -> int:
+    return max(LEAST_BYTES, BATCH_BYTES * 8 // max(8, len(model.languages)))
+
+
+def _sent(docs: DataFrame, model: Model):
+    """The model as a broadcast, of measured size."""
+    size = model.scores.nbytes + model.candidates.nbytes
+    if size > MODEL_BYTES:
+        raise ValueError(f"a model of {len(model.languages)} languages has {size} bytes, more than {MODEL_BYTES}")
+    return docs.sparkSession.sparkContext.broadcast(model)
+
+
+def _predict(sent, settings: Settings):
     columns = ["_lang_pred", "_lang_score", "_lang_spans", "_lang_count"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
         names = np.array([*model.languages, "und"], dtype=object)
         k = len(model.languages)
         for batch in batches:
-            for part in slices_by_bytes(batch, "text", 5 << 20):
+            for part in slices_by_bytes(batch, "text", _batch_bytes(model)):
                 words = words_of(part.column("text"))
                 path = best_paths(word_scores(model, words), words.rows, settings.switch)
                 share = np.zeros((len(part), max(k, 1)))
@@ -285,7 +304,7 @@ def labelled(docs: DataFrame, model: Model, settings: Settings = Settings()) ->
     chosen = docs.withColumn("_lang_letter", has_letter)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields)
     added = "_lang_pred string, _lang_score double, _lang_spans long, _lang_count long"
-    found = chosen.mapInArrow(_predict(model, settings), f"{fields}, {added}")
+    found = chosen.mapInArrow(_predict(_sent(docs, model), settings), f"{fields}, {added}")
     return found.withColumns(
         {
             "_lang_pred": F.when(F.col("_lang_letter"), F.col("_lang_pred")).otherwise("und"),
@@ -300,6 +319,33 @@ def identify(docs: DataFrame, model: Model, settings: Settings = Settings()) ->
     return labelled(docs.select("doc_id", "text"), model, settings).drop("text").withColumnsRenamed(shown)
 
 
+def _label_spans(sent, settings: Settings):
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        shape = pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())]))
+        for batch in batches:
+            for part in slices_by_bytes(batch, "text", _batch_bytes(model)):
+                words = words_of(part.column("text"))
+                found: list[list[dict]] = [[] for _ in range(len(part))]
+                if model.languages and len(words.rows):
+                    path = best_paths(word_scores(model, words), words.rows, settings.switch)
+                    for row, spans in zip(np.unique(words.rows).tolist(), spans_of(words, path, model.languages), strict=True):
+                        first = 0
+                        for size, lang in spans:
+                            found[row].append({"first_word": first, "n_words": size, "lang": lang})
+                            first += size
+                yield pa.record_batch([part.column("doc_id"), pa.array(found, shape)], ["doc_id", "spans"])
+
+    return label
+
+
+def language_spans(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, spans: the labelled stretches of each text as structs of first_word (from 0), n_words and lang."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    shape = f"doc_id {kind}, spans array<struct<first_word: long, n_words: long, lang: string>>"
+    return docs.select("doc_id", "text").mapInArrow(_label_spans(_sent(docs, model), settings), shape)
+
+
 def in_a_language(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without those of no learned language (``und``)."""
     return labelled(docs, model, settings).where("_lang_pred <> 'und'").select(docs.columns)

@@ -84,6 +84,39 @@ def test_spans_of_mixed_text(spark):
     assert not model.candidates[1][model.languages.index("ru")] and not model.candidates[3][model.languages.index("en")]
 
 
+def test_two_hundred_languages_by_brute_force(spark):
+    """Trigram scores, candidates, paths and spans against plain counting, beyond what a signed byte can number."""
+    rng = random.Random(4)
+    syllables = {f"l{i:03d}": [rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") for _ in range(5)] for i in range(200)}
+    word = lambda lang: "".join(rng.choices(syllables[lang], k=rng.randint(2, 4)))
+    train = [(n, " ".join(word(lang) for _ in range(30)), lang) for n, lang in enumerate(list(syllables) * 3)]
+    train.append((9_000, "мы живем", "l000"))
+    mixed = [(n, " ".join([word(a) for _ in range(25)] + [word(b) for _ in range(25)])) for n, (a, b) in enumerate([("l150", "l003"), ("l199", "l128")] * 3)]
+    model = G.learn(spark.createDataFrame(train, "doc_id long, text string, lang string"), F.lit(True))
+    assert len(model.languages) == 200
+
+    slot = lambda t: (((t[0] << 16 | t[1] << 8 | t[2]) * 2654435761) % (1 << 32)) >> 16
+    # Each word with the space before it and the one after it.
+    grams = lambda w: [slot(w[i : i + 3]) for i in range(len(w) - 2)]
+    counts = {lang: Counter(g for _, t, own in train if own == lang for w in t.split() for g in grams(f" {w} ".encode())) for lang in syllables}
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    score = lambda w, lang: sum(np.log((counts[lang][g] + 0.5) / (totals[lang] + 0.5 * G.SLOTS)) for g in grams(f" {w} ".encode()))
+    # Latin words are candidates everywhere; one Cyrillic word in some 30 only in the language that has it.
+    assert model.candidates[1].all() and model.candidates[3].tolist() == [lang == "l000" for lang in model.languages]
+    spans = {r["doc_id"]: [(x["first_word"], x["n_words"], x["lang"]) for x in r["spans"]] for r in G.language_spans(spark.createDataFrame(mixed, "doc_id long, text string"), model).collect()}
+    for n, text in mixed:
+        table = np.array([[score(w, lang) for lang in model.languages] for w in text.split()])
+        path, _ = path_brute(table, G.Settings().switch)
+        want, first = [], 0
+        for i in range(1, len(path) + 1):
+            if i == len(path) or path[i] != path[first]:
+                want.append((first, i - first, model.languages[path[first]]))
+                first = i
+        assert spans[n] == want and {x[2] for x in want} >= ({"l150", "l003"}, {"l199", "l128"})[n % 2]
+    top = {r["doc_id"]: r["lang_pred"] for r in G.identify(spark.createDataFrame(mixed, "doc_id long, text string"), model).collect()}
+    assert top[0] in ("l150", "l003") and top[1] in ("l199", "l128")
+
+
 def test_language_odd(odd_docs, no_docs):
     model = G.learn(odd_docs, F.lit(True))
     got = defaultdict(list)
@@ -341,3 +374,88 @@ def test_mixing_odd(odd_docs, no_docs):
     kept = M.mixed(odd_docs)
     assert kept.columns[:5] == odd_docs.columns[:5] and 0 < kept.count() <= odd_docs.count()
     assert M.mixing_weights(no_docs).collect() == [] and M.mixed(no_docs).collect() == []
+
+
+def test_texts_without_tokens_stay_in_mixed_company(spark):
+    """An empty and a null text share their cell with short texts that weigh less than 1."""
+    rows = [(i, "a b c d", "s" if i % 5 else "t", "en") for i in range(500)] + [(900, "", "s", "en"), (901, None, "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = M.Targets(given={"source": {"s": 0.5, "t": 0.5}}, share=0.25)
+    got = {r["doc_id"]: r for r in M.mixing_weights(docs, targets).collect()}
+    assert got[1]["weight"] == pytest.approx(0.625, rel=1e-4) and got[1]["probability"] < 0.5
+    assert all(got[i]["weight"] == got[i]["probability"] == 1 and got[i]["sampled"] for i in (900, 901))
+    assert {900, 901} <= {r["doc_id"] for r in M.mixed(docs, targets).collect()}
+
+
+def test_null_is_no_value_of_that_name(spark):
+    rows = [(i, "a b c d", None if i % 4 else "unknown", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = M.mixing_weights(docs, M.Targets(given={"source": {None: 0.5, "unknown": 0.5}})).collect()
+    weights = {r["doc_id"] % 4 == 0: r["weight"] for r in got}
+    assert weights[True] == pytest.approx(2, rel=1e-4) and weights[False] == pytest.approx(2 / 3, rel=1e-4)
+    assert {r["source"] for r in got} == {"unknown"}
+
+
+def test_cells_that_must_go_to_nothing():
+    """Three cells, a half for each value: one cell can only be empty, which plain rounds reach by 1 / n."""
+    codes = [np.array([0, 0, 1]), np.array([0, 1, 0]), np.array([0, 0, 0])]
+    wants = [np.array([0.5, 0.5]), np.array([0.5, 0.5]), np.array([1.0])]
+    mass, gap = M.raked(codes, wants, np.array([0.2, 0.3, 0.5]), M.Targets(rounds=1000))
+    assert gap <= 1e-6 and mass == pytest.approx([0, 0.5, 0.5], abs=1e-6)
+
+
+def test_rounds_are_bounded_and_the_gap_told(spark, monkeypatch):
+    monkeypatch.setattr(M, "CELLS_A_TASK", 0)
+    shape = "source string, lang string, topic string, tokens long"
+    cells = spark.createDataFrame([("a", "x", "p", 20), ("a", "y", "p", 30), ("b", "x", "p", 50)], shape)
+    halves = {"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.5, "y": 0.5}}
+    with pytest.warns(UserWarning, match="contradict"):
+        got = M.rake(cells, M.Targets(given=halves, job_rounds=3)).collect()
+    assert all(1e-6 < r["gap"] < 0.3 for r in got)
+
+
+def test_mixing_by_brute_force(spark, sf_dir):
+    """Topics, tokens, weights, budget and draw of every document, worked out one by one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "", r["source"], r["lang"]) for r in docs.collect()]
+
+    def topic(text):
+        size = len(text.encode())
+        if text.count("|") * 20 > size:
+            return "table"
+        return "note" if size < 300 else "list" if text.count("\n") * 80 > size else "prose"
+
+    told = [(i, s, g, topic(t), t.count(" ") + t.count("\n") + 1 if t else 0) for i, t, s, g in rows]
+    cells = Counter()
+    for _, *cell, n in told:
+        cells[tuple(cell)] += n
+    cells = {c: n for c, n in cells.items() if n}
+    total = sum(cells.values())
+    want = []
+    for k in range(3):
+        have = Counter()
+        for c, n in cells.items():
+            have[c[k]] += n
+        want.append({v: n**0.5 / sum(x**0.5 for x in have.values()) for v, n in have.items()})
+    mass = {c: n / total for c, n in cells.items()}
+    for _ in range(3000):
+        for k in range(3):
+            held = Counter()
+            for c, m in mass.items():
+                held[c[k]] += m
+            mass = {c: m * want[k][c[k]] / held[c[k]] for c, m in mass.items()}
+    weight = {c: mass[c] * total / n for c, n in cells.items()}
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        middle = (low + high) / 2
+        reached = sum(n * min(1.0, weight[c] * middle) for c, n in cells.items()) >= total / 2
+        low, high = (low, middle) if reached else (middle, high)
+    unit = {r["doc_id"]: r["u"] for r in docs.select("doc_id", (F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("mixing")), F.lit(1 << 53)) / float(1 << 53)).alias("u")).collect()}
+    got = {r["doc_id"]: r for r in M.mixing_weights(docs).collect()}
+    for i, s, g, t, n in told:
+        w = weight[s, g, t] if n else 1.0
+        p = min(1.0, w * high) if n else 1.0
+        r = got[i]
+        assert (r["source"], r["lang"], r["topic"], r["n_tokens"]) == (s, g, t, n)
+        assert r["weight"] == pytest.approx(w, rel=1e-3) and r["probability"] == pytest.approx(p, rel=2e-3)
+        assert r["sampled"] == (unit[i] < p) or abs(unit[i] - p) < 5e-3
