@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pagelake.functions.text import email_domain
 from pagelake.operators.contract import columns, ensure_columns
 from pagelake.operators.joins import HOT_PAGES, lookup_join
 from pagelake.operators.pages import file_attachments, file_items, unwrap, with_attachments
+from pagelake.session import settle
 
 
 def child_pages(
@@ -217,14 +219,50 @@ def _documents(rows: DataFrame, cursor: str) -> DataFrame:
     return aligned.select(*DOCUMENT_TYPES, "_cursor")
 
 
-def content_files(spark, path: str) -> DataFrame:
-    """File bytes below ``path`` with the file name as ``item_id``."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("item_id"), "content")
-    )
+#: Files and bytes read at once; the paths of a pack pass through the driver.
+PACK_FILES, PACK_BYTES = 10_000, 16 << 30
+
+
+def file_list(spark, path: str) -> DataFrame:
+    """path, length and modificationTime of the files below ``path``; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "length", "modificationTime")
+
+
+def file_name() -> Column:
+    """The last part of a file's path."""
+    return F.element_at(F.split("path", "/"), -1)
+
+
+def fresh_content(
+    spark, path: str, items: DataFrame, *, item_of: Column | None = None, pack_files: int = PACK_FILES, pack_bytes: int = PACK_BYTES
+) -> DataFrame:
+    """item_id, content of the files below ``path`` that belong to ``items`` (their ``id``).
+
+    Paths and lengths are listed first and joined with the items; only the files that remain are opened, in packs
+    of about ``pack_files`` files and ``pack_bytes`` bytes, each dealt over tasks by size. ``item_of`` tells the item of a
+    path (default: the file name). Spark lists no empty files: items whose ``size`` is 0 get empty content.
+    """
+    named = file_list(spark, path).withColumn("item_id", file_name() if item_of is None else item_of)
+    ids = items.select(F.col("id").cast("string").alias("item_id")).distinct()
+    chosen = settle(lookup_join(named, ids, ["item_id"], "left_semi"))
+    size = chosen.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    packs = max(1, -(-size["n"] // pack_files), -(-size["bytes"] // pack_bytes))
+    pack = F.pmod(F.xxhash64("path"), F.lit(packs))
+    out = None
+    for number in range(packs):
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in chosen.where(pack == number).select("path").collect()]
+        if paths:
+            read = spark.read.format("binaryFile").load(paths).select("path", "content")
+            out = read if out is None else out.unionByName(read)
+    if out is None:
+        found = spark.createDataFrame([], "item_id string, content binary")
+    else:
+        found = out.withColumn("item_id", file_name() if item_of is None else item_of).select("item_id", "content")
+    if "size" not in items.columns:
+        return found
+    empty = items.where("size = 0").select(F.col("id").cast("string").alias("item_id")).distinct()
+    return found.unionByName(empty.withColumn("content", F.lit("").cast("binary")))
 
 
 def _col(value: str | Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelake.operators.commits import Log, Record, live_files
+from pagelake.operators.commits import Log, Record, greatest_mark, live_files
 from pagelake.operators.dedup import latest_by_key
 from pagelake.operators.evolve import conformed, merged_schema
 from pagelake.operators.joins import lookup_join
@@ -71,18 +71,20 @@ class Table:
         return bool(self._records())
 
     def high_water(self, resource: str | None = None) -> str | None:
-        """Cursor mark after the last write (of a resource); None before the first."""
-        marks = [r.high_water for r in self._records() if r.high_water is not None and resource in (None, r.resource)]
-        return marks[-1] if marks else None
+        """The greatest cursor mark of all writes (of a resource); None before the first."""
+        found = greatest_mark(r for r in self._records() if resource in (None, r.resource))
+        return found.high_water if found else None
 
     def reports(self) -> DataFrame:
         """Load report: rows, mark, late rows and skipped feeds of every write."""
         return self.log().select("version", "resource", "run_id", "disposition", "rows", "high_water", "late", "skipped")
 
-    def report_of(self, run_id: str, resource: str | None) -> LoadReport | None:
-        """The report of a run that is in the table already."""
-        for r in self._records():
+    def report_of(self, run_id: str, resource: str | None, pages: int | None = None) -> LoadReport | None:
+        """The report of a run that is in the table already, unless it had other than ``pages`` pages when it was loaded."""
+        for r in reversed(self._records()):
             if r.run_id == run_id and r.resource == resource and r.batch_id is None:
+                if None not in (pages, r.pages) and pages != r.pages:
+                    return None
                 return LoadReport(r.version, r.disposition, r.rows, r.high_water, r.late, r.skipped, repeated=True)
         return None
 
@@ -90,10 +92,10 @@ class Table:
         """The last batch of each progress folder a stream of this name has had."""
         return {r.stream_id: r.batch_id for r in self._records() if r.run_id == stream and r.batch_id is not None}
 
-    def paths_of(self, run_id: str) -> list[str]:
-        """Folders a run or stream has added that are still part of the table."""
+    def paths_of(self, run_id: str, resource: str | None = None) -> list[str]:
+        """Folders a run or stream has added (for a resource) that are still part of the table."""
         records = self._records()
-        mine = {e["path"] for r in records if r.run_id == run_id for e in r.added}
+        mine = {e["path"] for r in records if r.run_id == run_id and resource in (None, r.resource) for e in r.added}
         return [p for p in live_files(records) if p in mine]
 
     # --- reading -------------------------------------------------------------
@@ -177,7 +179,14 @@ class Table:
         merged = conformed(incoming, schema)
         if old:
             # A short list of keys is broadcast, so stored rows are not shuffled to find them.
-            kept = lookup_join(self._rows(old, schema), gone, keys, "left_anti")
+            stored_rows = self._rows(old, schema)
+            by_stored = order and all(isinstance(o, str) and o in schema.names for o in order)
+            if by_stored and of_parents is None:
+                # The stored version stays where it comes first; of equal ones the incoming.
+                rivals = lookup_join(stored_rows, gone, keys, "left_semi").withColumn("_incoming", F.lit(0))
+                both = rivals.unionByName(merged.withColumn("_incoming", F.lit(1)))
+                merged = latest_by_key(both, keys, [*order, "_incoming"]).drop("_incoming")
+            kept = lookup_join(stored_rows, gone, keys, "left_anti")
             merged = kept.unionByName(merged)
         added = []
         if old or touched:
@@ -212,7 +221,9 @@ class Table:
     def merge(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), **run: object) -> LoadReport:
         """Upsert: an incoming key replaces the stored row; one row per key.
 
-        Of several incoming rows with one key the first by ``order`` counts. Rows
+        Of several incoming rows with one key the first by ``order`` counts; where ``order`` names
+        columns of the table, the stored row is compared as well, so that an older version that
+        arrives later changes nothing. Without it the incoming row replaces the stored one. Rows
         without a key are left out. Rows live in hash buckets of the key and only the
         buckets an incoming key falls in are rewritten. For a child table, whose key is
         its parent's, ``of_parents`` gives the parents written: all their stored rows
@@ -266,6 +277,8 @@ class Table:
             buckets=buckets,
             late=run.get("late"),
             skipped=run.get("skipped"),
+            mark_type=seen.get("mark_type"),
+            pages=run.get("pages"),
         )
 
 
@@ -297,13 +310,13 @@ def _writable(rows: DataFrame) -> DataFrame:
 class _Watch:
     """Counts taken while rows are written."""
 
-    def __init__(self, names: dict[str, str]) -> None:
+    def __init__(self, names: dict[str, str], mark_type: str | None) -> None:
         self.observation = Observation()
-        self.names = names
+        self.names, self.mark_type = names, mark_type
 
     @property
     def get(self) -> dict:
-        return {**self.observation.get, "names": self.names}
+        return {**self.observation.get, "names": self.names, "mark_type": self.mark_type}
 
 
 def _watched(rows: DataFrame, cursor: object) -> tuple[DataFrame, _Watch]:
@@ -311,7 +324,8 @@ def _watched(rows: DataFrame, cursor: object) -> tuple[DataFrame, _Watch]:
     # A cursor column starting with "_" only serves the mark.
     unseen = {str(cursor)} if str(cursor).startswith("_") else set()
     names = {f.name: f"has{i}" for i, f in enumerate(rows.schema.fields) if f.name not in unseen}
-    watch = _Watch(names)
+    whole = cursor is not None and isinstance(rows.schema[str(cursor)].dataType, T.IntegralType)
+    watch = _Watch(names, None if cursor is None else "bigint" if whole else "text")
     measures = [F.count(F.lit(1)).alias("rows"), *(F.coalesce(F.max(F.col(f"`{n}`").isNotNull()), F.lit(False)).alias(k) for n, k in names.items())]
     if cursor is not None:
         largest = F.max(str(cursor))
@@ -323,6 +337,6 @@ def _watched(rows: DataFrame, cursor: object) -> tuple[DataFrame, _Watch]:
 
 
 def cursor_state(table: Table) -> DataFrame:
-    """Current mark of every resource that writes the table."""
-    last = F.max_by("high_water", F.when(F.col("high_water").isNotNull(), F.col("version")))
-    return table.log().groupBy("resource").agg(last.alias("last_value"))
+    """Current mark of every resource that writes the table: the greatest it has had."""
+    number = F.max(F.when(F.col("mark_type") == "bigint", F.col("high_water").try_cast("bigint"))).cast("string")
+    return table.log().groupBy("resource").agg(F.coalesce(number, F.max("high_water")).alias("last_value"))

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from pagelake.operators import incremental as I
 from pagelake.operators import pages as P
+from pagelake.operators import selection as S
 from pagelake.plans.page_queries import EVENT, event_pages
 from pagelake.plans.registry import query, table
-from pagelake.sources.landing import land
+from pagelake.session import scratch_dir
+from pagelake.sources.landing import land, store_pages
+from pagelake.sources.manifest import prune_runs, run_ranges
+from pagelake.specs import Cursor, Resource
 
 # Fixed value: the mark of the run before, for all queries here.
 MARK = "2024-01-10T12:00:00"
@@ -179,3 +183,39 @@ def numbered_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order with the number of its slice."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return I.numbered_slices(orders, ["o_orderdate", "o_orderkey"], 1000)
+
+
+@query(
+    """
+    SELECT l_shipdate, l_orderkey, l_linenumber FROM (
+      SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) AS n, count(*) OVER () AS every FROM lineitem)
+    WHERE n > every * 7 // 10 AND n <= every * 7 // 10 + 1000
+    """
+)
+def deep_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice of 1000 from far down the order."""
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber")
+    return S.deep_slice(lines, lines.columns, lines.count() * 7 // 10 + 1, 1000)
+
+
+BY_DAY = Resource("site", "events", "data", "single", disposition="append", cursor=Cursor("ts", kind="timestamp"))
+
+
+@query(f"SELECT event_id, ts FROM events WHERE ts > {MARK_SQL}")
+def pruned_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing of one run a day: runs that end before the mark are not read."""
+    events = table(spark, sf_dir, "events")
+    pages = land(
+        events,
+        record=F.struct("event_id", "ts"),
+        order=F.col("event_id"),
+        feed=F.date_format("ts", "yyyy-MM-dd"),
+        page_no=F.floor(F.col("event_id") / 500) + 1,
+        source="site",
+        resource="events",
+        run_id=F.col("feed"),
+    )
+    landed = store_pages(pages, scratch_dir(spark, "landing"))
+    fresh = prune_runs(landed, run_ranges(landed, BY_DAY), BY_DAY, F.lit(MARK).cast("timestamp"))
+    rows = P.drop_page(P.unwrap(fresh, "data", "event_id bigint, ts timestamp_ntz"))
+    return I.incremental(rows, "ts", _mark())

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pagelake.functions import classify as C
 from pagelake.functions import values as V
 from pagelake.functions.text import email_domain
-from pagelake.operators.pages import FILE_ATTACHMENT
+from pagelake.operators.dependent import fresh_content, sharepoint_documents
+from pagelake.operators.incremental import skip_stale
+from pagelake.operators.pages import FILE_ATTACHMENT, drop_page, unwrap
 from pagelake.plans.pipeline import Run, run_source, table_of
 from pagelake.plans.registry import query, table
 from pagelake.session import scratch_dir
@@ -297,3 +299,35 @@ def mail_documents_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         mailbox="in@our.example",
     )
     return run.rows("mail_documents").select("document_id", "doc_role")
+
+
+ITEM = (
+    "id string, name string, size bigint, file struct<mimeType:string>, webUrl string, lastModifiedDateTime string, "
+    "createdBy struct<user:struct<email:string>>"
+)
+
+
+@query(
+    """
+    SELECT 'sharepoint:site:' || doc_id AS document_id, strlen(coalesce(text, '')) + 1 AS size_bytes,
+      sha256(to_base64(encode(coalesce(text, '') || chr(10)))) AS content_sha256
+    FROM documents WHERE doc_id % 3 <> 0
+    """
+)
+def library_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as files of a library: those of fresh items are read, the others only listed."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    folder = scratch_dir(spark, "library")
+    docs.select(F.col("doc_id").alias("item"), F.col("text").alias("value")).write.partitionBy("item").text(folder)
+    record = F.struct(
+        F.col("doc_id").cast("string").alias("id"),
+        F.concat("lang", F.lit(".txt")).alias("name"),
+        (F.octet_length("text") + 1).alias("size"),
+        F.struct(F.lit("text/plain").alias("mimeType")).alias("file"),
+        F.when(F.col("doc_id") % 3 != 0, "2024-02-01T00:00:00Z").otherwise("2023-02-01T00:00:00Z").alias("lastModifiedDateTime"),
+    )
+    items = land(docs, record=record, order=F.col("doc_id"), page_no=F.floor(F.col("doc_id") / 200) + 1, envelope=lambda x: F.struct(x.alias("value")), source="m365_graph", resource="items")
+    fresh = skip_stale(drop_page(unwrap(items, "value", ITEM)), "lastModifiedDateTime", "2024-01-01T00:00:00Z")
+    of_folder = F.regexp_extract("path", "/item=([^/]*)/[^/]*$", 1)
+    found = sharepoint_documents(fresh, fresh_content(spark, folder, fresh, item_of=of_folder), "site")
+    return found.select("document_id", "size_bytes", F.sha2("content_base64", 256).alias("content_sha256"))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from pagelake.functions import values as V
 from pagelake.operators import contract as K
+from pagelake.operators import link_chains as L
 from pagelake.operators import pages as P
 from pagelake.plans.registry import query, table
-from pagelake.sources.landing import even_pages, infer_record, land, overlay
+from pagelake.sources.landing import even_pages, infer_record, land, make_pages, overlay
 
 ORDER = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -423,3 +424,77 @@ def document_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         V.name_or(named, "attachment").alias("filename"),
         V.encode_content(F.encode("c_name", "utf-8")).alias("content"),
     )
+
+
+_LINKED = """
+    WITH RECURSIVE base AS (
+      SELECT DISTINCT event_id // 100 AS feed, event_id % 100 // 10 + 1 AS p FROM events
+    ), told AS (
+      SELECT feed, p, max(p) OVER (PARTITION BY feed) AS n, feed % 6 AS kind FROM base
+    ), nodes AS (
+      SELECT feed, CASE WHEN kind = 5 AND p = 3 AND n > 3 THEN 4 WHEN kind = 5 AND p = 4 THEN 3 ELSE p END AS page_no, p AS url,
+        CASE WHEN p = n THEN CASE WHEN kind = 1 THEN 3 END WHEN kind = 3 AND p = 2 THEN 6 ELSE p + 1 END AS link
+      FROM told WHERE NOT (kind = 2 AND p = 4)
+      UNION ALL SELECT feed, 17, 7, CASE WHEN n > 7 THEN 8 END FROM told WHERE kind = 4 AND p = 7
+    ), target AS (
+      SELECT feed, url, min(page_no) AS page_no, arg_min(link, page_no) AS link FROM nodes GROUP BY feed, url
+    ), walk AS (
+      SELECT feed, page_no, link, 0 AS step FROM nodes
+      UNION ALL SELECT w.feed, w.page_no, t.link, step + 1 FROM walk w JOIN target t ON t.feed = w.feed AND t.url = w.link WHERE step < 40
+    ), ahead AS (
+      SELECT feed, page_no, max(step) AS ahead FROM walk GROUP BY feed, page_no
+    ), joined AS (
+      SELECT o.feed, o.page_no, o.url, o.link, a.ahead, t.page_no AS kept, o.link IS NOT NULL AND l.url IS NULL AS dead,
+        (SELECT count(*) FROM nodes x WHERE x.feed = o.feed AND x.link = o.url AND o.page_no = t.page_no) AS entries,
+        o.page_no = min(o.page_no) OVER (PARTITION BY o.feed) AS head
+      FROM nodes o JOIN ahead a USING (feed, page_no) JOIN target t ON t.feed = o.feed AND t.url = o.url
+        LEFT JOIN target l ON l.feed = o.feed AND l.url = o.link
+    ), found AS (
+      SELECT feed, page_no, 'duplicate_url' AS problem FROM joined WHERE kept <> page_no
+      UNION ALL SELECT feed, page_no, 'missing_page' FROM joined WHERE dead
+      UNION ALL SELECT feed, page_no, 'fork' FROM joined WHERE entries > 1
+      UNION ALL SELECT feed, page_no, 'orphan' FROM joined WHERE entries = 0 AND NOT head AND kept = page_no
+      UNION ALL SELECT feed, page_no, 'cycle' FROM joined WHERE ahead >= 40
+    ), placed AS (
+      SELECT feed, page_no, page_no - min(page_no) OVER (PARTITION BY feed) AS here, max(ahead) OVER (PARTITION BY feed) - ahead AS there
+      FROM joined WHERE feed NOT IN (SELECT feed FROM found)
+    )
+"""
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as feeds of ten linked pages of ten, most kinds of feed with a fault of their own."""
+    events = table(spark, sf_dir, "events")
+    pages = land(
+        events,
+        record=F.struct("event_id"),
+        order=F.col("event_id"),
+        feed=F.floor(F.col("event_id") / 100),
+        page_no=F.floor(F.col("event_id") % 100 / 10) + 1,
+        source="site",
+        resource="events",
+    )
+    last = pages.groupBy("feed").agg(F.max("page_no").alias("n"))
+    p, n, kind = F.col("page_no"), F.col("n"), F.col("feed").cast("bigint") % 6
+    to = F.when(p == n, F.when(kind == 1, 3)).when((kind == 3) & (p == 2), 6).otherwise(p + 1)
+    at = lambda place: F.concat(F.lit("https://site/"), "feed", F.lit("?page="), place.cast("string"))
+    pages = (
+        pages.join(last, "feed")
+        .where(~((kind == 2) & (p == 4)))
+        .withColumns({"request_key": F.create_map(F.lit("url"), at(p)), "link_next": at(to)})
+    )
+    again = pages.where((kind == 4) & (p == 7)).withColumn("page_no", F.lit(17).cast("bigint"))
+    swapped = F.when((kind == 5) & (p == 3) & (n > 3), 4).when((kind == 5) & (p == 4), 3).otherwise(p).cast("bigint")
+    return make_pages(pages.withColumn("page_no", swapped).unionByName(again))
+
+
+@query(
+    _LINKED
+    + """
+    SELECT CAST(feed AS VARCHAR) AS feed, page_no, problem FROM found
+    UNION ALL SELECT CAST(feed AS VARCHAR), page_no, 'misplaced' FROM placed WHERE here <> there
+    """
+)
+def link_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds whose pages name the next by its URL: loops, forks, lost pages and wrong places."""
+    return L.link_chain_audit(linked_pages(spark, sf_dir)).select("feed", "page_no", "problem")

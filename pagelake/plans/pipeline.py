@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,7 @@ from pagelake.operators.pages import PAGE, POSITION, apply_status_policy, drop_p
 from pagelake.operators.sinks import LoadReport, Table, with_counts
 from pagelake.session import scratch_scope, settle
 from pagelake.sources.landing import infer_record, overlay, pick
+from pagelake.sources.manifest import prune_runs
 from pagelake.specs import Parent, Resource, Source
 
 CURSOR = "_cursor"
@@ -34,7 +37,8 @@ class Run:
     ``marks`` holds each resource's cursor mark as it stood before the run; it is never
     changed during it. ``options`` are values the special resources need (``mailbox``,
     ``site_id``, ``content``). ``records`` may pin the record type of a resource, which
-    saves the inference pass.
+    saves the inference pass. With a ``manifest`` of the landing, runs that hold nothing past
+    a resource's mark are not read for it.
     """
 
     def __init__(
@@ -44,9 +48,11 @@ class Run:
         pages: DataFrame,
         marks: Mapping[str, str | None] | None = None,
         records: Mapping[str, str | T.StructType] | None = None,
+        manifest: DataFrame | None = None,
         **options: object,
     ) -> None:
         self.spark = spark
+        self.manifest = manifest
         self.source = source
         self._pages = pick(pages, source.name)
         self.marks = dict(marks or {})
@@ -71,6 +77,10 @@ class Run:
         skip = self.source[name].skip if name in self.source.names() else ()
         return apply_status_policy(pick(self._pages, resource=name), skip)
 
+    def landed(self, name: str) -> int:
+        """How many pages of a resource there are, whatever their status."""
+        return pick(self._pages, resource=self.source[name].pages_of or name).count()
+
     def skipped(self, name: str) -> DataFrame:
         """Feeds of a resource that ended on a skipped status."""
         return skipped_feeds(pick(self._pages, resource=name), list(self.source[name].skip))
@@ -106,6 +116,8 @@ class Run:
             return resource.build(self, resource)
         cursor = None if full else resource.cursor
         pages = self.pages(resource.pages_of or resource.name)
+        if self.manifest is not None and cursor is not None and self.marks.get(resource.name) is not None:
+            pages = prune_runs(pages, self.manifest, resource, self.start(resource))
         record = self.record_type(resource, pages)
         carry: list[str] = []
         if resource.parent is not None:
@@ -206,6 +218,7 @@ def run_source(
     sentinels: bool = False,
     child_tables: bool = True,
     on_error: str = "raise",
+    side_by_side: int = 1,
     **options: object,
 ) -> dict[str, LoadReport]:
     """Load the resources (all by default) and report on each.
@@ -213,7 +226,10 @@ def run_source(
     The marks are read once before anything is written. A resource and its child tables
     are committed together, and its mark moves with that commit. A run that was appended
     before is not appended again. With ``on_error="report"`` a resource that fails is
-    reported with its error and the others go on.
+    reported with its error and the others go on: so do, unread, those that take it as their parent.
+
+    ``side_by_side`` resources are loaded at once, each in a job group of its own. A resource waits for its
+    parent, whose increment it then shares, and for those that write the same table.
     """
     names = list(resources) if resources is not None else source.names()
     pages = pick(pages, run_id=run_id)
@@ -222,27 +238,82 @@ def run_source(
         for r in source.resources
         if r.cursor is not None
     }
-    reports = {}
     with scratch_scope(spark):
         run = Run(spark, source, pages, marks, **options)
-        for name in names:
+
+        def load(name: str) -> LoadReport:
+            spark.sparkContext.setJobGroup(f"{source.name}.{name}", f"load {source.name}.{name}")
             table = table_of(spark, warehouse, source.name, source[name].table_name)
-            try:
-                reports[name] = _load(run, source[name], table, run_id, sentinels, child_tables)
-            except Exception as error:
-                if on_error != "report":
-                    raise
-                reports[name] = LoadReport(0, source[name].disposition, 0, None, error=str(error))
-    return reports
+            return _load(run, source[name], table, run_id, sentinels, child_tables)
+
+        return _in_order(source, names, load, on_error, side_by_side)
+
+
+def _in_order(source: Source, names: list[str], load: Callable[[str], LoadReport], on_error: str, side_by_side: int) -> dict[str, LoadReport]:
+    """Load resources after what they wait for; a failed one takes along only those that need it."""
+    parents = {n: source[n].parent.resource for n in names if source[n].parent is not None and source[n].parent.resource in names}
+    waits = {n: {parents[n]} if n in parents else set() for n in names}
+    for i, name in enumerate(names):
+        # Writers of one table take turns, in the order given.
+        before = [m for m in names[:i] if source[m].table_name == source[name].table_name]
+        waits[name] |= {m for m in before[-1:] if name not in waits[m]}
+    reports: dict[str, LoadReport] = {}
+    running: dict[Future, str] = {}
+    left = list(names)
+    failed: Exception | None = None
+    with ThreadPoolExecutor(max(1, side_by_side)) as pool:
+        while left or running:
+            for name in [n for n in left if waits[n] <= reports.keys()] if failed is None else []:
+                left.remove(name)
+                if name in parents and reports[parents[name]].error is not None:
+                    reports[name] = _failure(source, name, f"not loaded: {parents[name]} failed")
+                elif len(running) < side_by_side:
+                    running[pool.submit(inheritable_thread_target(load), name)] = name
+                else:
+                    left.insert(0, name)
+                    break
+            if not running:
+                if failed is not None:
+                    break
+                if left and not any(waits[n] <= reports.keys() for n in left):
+                    raise ValueError(f"resources wait for each other: {left}")
+                continue
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                error = future.exception()
+                if error is None:
+                    reports[name] = future.result()
+                elif on_error == "report":
+                    reports[name] = _failure(source, name, str(error))
+                else:
+                    failed = failed or error
+    if failed is not None:
+        raise failed
+    return {name: reports[name] for name in names}
+
+
+def _failure(source: Source, name: str, error: str) -> LoadReport:
+    return LoadReport(0, source[name].disposition, 0, None, error=error)
+
+
+def load_reports(spark: SparkSession, reports: Mapping[str, LoadReport]) -> DataFrame:
+    """Reports as rows, to be kept: resource, disposition, rows, high_water, late, skipped, repeated, error."""
+    rows = [(n, r.disposition, r.rows, r.high_water, r.late, r.skipped, r.repeated, r.error) for n, r in reports.items()]
+    shape = "resource string, disposition string, rows bigint, high_water string, late bigint, skipped bigint, repeated boolean, error string"
+    return spark.createDataFrame(rows, shape)
 
 
 def _load(run: Run, resource: Resource, table: Table, run_id: str | None, sentinels: bool, child_tables: bool) -> LoadReport:
     name = resource.name
+    keys = [snake_case(k) for k in resource.key]
+    noted: dict = {"run_id": run_id, "resource": name}
+    again = False
     if resource.disposition == "append" and run_id is not None:
-        if known := table.report_of(run_id, name):
+        noted["pages"] = run.landed(name)
+        if known := table.report_of(run_id, name, noted["pages"]):
             return known
-    keys = [snake_case(k) for k in resource.key]
-    noted = {"run_id": run_id, "resource": name}
+        # More pages have landed under a run that was loaded before: what it had added goes with the same commit.
+        again = bool(table.paths_of(run_id, name))
     merged = resource.disposition == "merge"
     if merged:
         # Child rows come from the versions that stay.
@@ -255,7 +326,7 @@ def _load(run: Run, resource: Resource, table: Table, run_id: str | None, sentin
             run.hold(name)
             children = run.children(name)
         parents = run.rows(name).select(*keys)
-        staged = [_staged_child(child_table_of(table, c), rows, resource, parents, noted) for c, rows in children.items()]
+        staged = [_staged_child(child_table_of(table, c), rows, resource, parents, noted, again) for c, rows in children.items()]
         if resource.disposition != "append":
             # Rows of child tables that this run has nothing for go as well.
             for child in _known_children(table, name) - set(children):
@@ -267,7 +338,7 @@ def _load(run: Run, resource: Resource, table: Table, run_id: str | None, sentin
         rows = with_sentinel(rows, keys)
     cursor = CURSOR if CURSOR in rows.columns else None
     skipped = run.skipped(name).count() if resource.skip else 0
-    own = table.staged(rows, resource.disposition, keys, cursor=cursor, skipped=skipped, **noted)
+    own = table.staged(rows, resource.disposition, keys, cursor=cursor, skipped=skipped, **_without(table, noted, again), **noted)
     if name in run.late:
         own = with_counts(own, late=run.late[name].get["late"])
     return table.commit(own, *staged)
@@ -277,9 +348,13 @@ def _known_children(table: Table, resource: str) -> set[str]:
     return {r.table for r in Log(table.spark, table.root).current()[0] if r.table and r.resource == resource}
 
 
-def _staged_child(table: Table, rows: DataFrame, resource: Resource, parents: DataFrame, noted: dict) -> Record:
+def _without(table: Table, noted: dict, again: bool) -> dict:
+    return {"without": table.paths_of(noted["run_id"], noted["resource"])} if again else {}
+
+
+def _staged_child(table: Table, rows: DataFrame, resource: Resource, parents: DataFrame, noted: dict, again: bool = False) -> Record:
     if resource.disposition != "merge":
-        return table.staged(rows, resource.disposition, **noted)
+        return table.staged(rows, resource.disposition, **_without(table, noted, again), **noted)
     own = [f"parent_{snake_case(k)}" for k in resource.key]
     # Deeper child tables carry the same parent columns under a longer prefix.
     found = [next(c for c in rows.columns if c.endswith(k)) for k in own]

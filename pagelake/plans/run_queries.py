@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.operators.incremental import take_while_fresh
+from pagelake.operators.nested import promote_nested_key
 from pagelake.operators.pages import drop_page, unwrap
-from pagelake.operators.sinks import Table
-from pagelake.plans.pipeline import run_source, table_of
+from pagelake.operators.sinks import Table, cursor_state
+from pagelake.plans.pipeline import load_reports, run_source, table_of
 from pagelake.plans.registry import query, table
 from pagelake.session import scratch_dir
 from pagelake.sources.landing import land, store_pages
-from pagelake.specs import Cursor, Resource, Source
+from pagelake.specs import Cursor, Parent, Resource, Source
+from pagelake.streaming.streams import batch_writer, run_available, stream_pages
 
 LEDGER = Source(
     "ledger",
@@ -140,7 +145,7 @@ def append_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT c_custkey AS id, run, CASE run WHEN 2 THEN CAST(c_custkey AS VARCHAR) || '.0' WHEN 3 THEN CAST(c_custkey + 0.5 AS VARCHAR)
-      WHEN 4 THEN 'n' || c_custkey END AS extra, CASE WHEN run = 3 THEN c_custkey + 0.5 WHEN run > 1 THEN c_custkey END AS amount,
+      WHEN 4 THEN 'n' || c_custkey END AS extra, CAST(CASE WHEN run = 3 THEN c_custkey + 0.5 WHEN run > 1 THEN c_custkey END AS DOUBLE) AS amount,
       CASE run WHEN 4 THEN c_name END AS late, CASE run WHEN 1 THEN c_name END AS early
     FROM customer, (VALUES (1), (2), (3), (4)) v(run)
     """
@@ -185,3 +190,115 @@ def take_while_raise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = unwrap(pages, "data", "event_id bigint, at string", position=True)
     return drop_page(take_while_fresh(rows, "at", "2024-01", missing="raise")).select("event_id")
+
+
+NATION = "id bigint, name string"
+EVERYTHING = Source(
+    "ledger",
+    (
+        Resource("ledger", "nations", "data", "single", declared=NATION),
+        Resource("ledger", "citizens", "data", "single", declared="id bigint", parent=Parent("nations", {"nation": "id"}, {"nation": "id"})),
+        Resource("ledger", "orders", "data", "single", disposition="append", cursor=Cursor("day"), declared="id bigint, day string"),
+        Resource("ledger", "broken", "data", "single", declared=NATION),
+        Resource("ledger", "of_broken", "data", "single", declared=NATION, parent=Parent("broken", {"nation": "id"})),
+        Resource("ledger", "closed", "data", "single", skip=frozenset({403}), declared=NATION),
+    ),
+)
+
+
+def _everything(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of all resources: one is no JSON, one was refused, one belongs to a custom object."""
+    nations, customers = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    one = {"order": F.lit(0), "source": "ledger"}
+    pages = [
+        land(nations, record=F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), page_no=F.lit(1), resource="nations", **one),
+        land(
+            customers, record=F.struct(F.col("c_custkey").alias("id")), feed=F.col("c_nationkey"), page_no=F.floor(F.col("c_custkey") / 200) + 1,
+            resource="citizens", request_key=F.create_map(F.lit("nation"), F.col("feed")), **one,
+        ),
+        land(
+            table(spark, sf_dir, "orders"), record=F.struct(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")),
+            page_no=F.floor(F.col("o_orderkey") / 500) + 1, resource="orders", **one,
+        ),
+        land(
+            table(spark, sf_dir, "part"), record=F.struct(F.struct(F.col("p_partkey").alias("record_id")).alias("id"), F.col("p_name").alias("name")),
+            page_no=F.floor(F.col("p_partkey") / 200) + 1, resource="gadgets", **one,
+        ),
+    ]
+    bad = land(nations, record=F.struct(F.col("n_nationkey").alias("id")), page_no=F.lit(1), resource="broken", **one)
+    pages.append(bad.withColumn("body", F.lit("<html>no JSON</html>")))
+    refused = land(nations, record=F.struct(F.col("n_nationkey").alias("id")), feed=F.col("n_regionkey"), page_no=F.lit(1), resource="closed", http_status=403, **one)
+    pages.append(refused.withColumn("body", F.lit("{}")))
+    return reduce(DataFrame.unionByName, pages)
+
+
+@query(
+    """
+    SELECT 'nations' AS resource, count(*) AS rows, CAST(NULL AS VARCHAR) AS high_water, CAST(0 AS BIGINT) AS skipped, 'loaded' AS outcome FROM nation
+    UNION ALL SELECT 'citizens', count(*), NULL, 0, 'loaded' FROM customer
+    UNION ALL SELECT 'orders', count(*), strftime(max(o_orderdate), '%Y-%m-%d'), 0, 'loaded' FROM orders
+    UNION ALL SELECT 'gadgets', count(*), NULL, 0, 'loaded' FROM part
+    UNION ALL SELECT 'closed', 0, NULL, count(DISTINCT n_regionkey), 'loaded' FROM nation
+    UNION ALL SELECT 'broken', 0, NULL, NULL, 'failed' UNION ALL SELECT 'of_broken', 0, NULL, NULL, 'not loaded'
+    """
+)
+def run_everything(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole source side by side, a custom object in it: one resource fails, its child is left, the others load."""
+    source = EVERYTHING.with_resource(replace(EVERYTHING["nations"], name="gadgets", key=("record_id",), declared="", transforms=(_by_record_id,)))
+    landed = store_pages(_everything(spark, sf_dir), scratch_dir(spark, "landing"))
+    reports = run_source(spark, source, landed, scratch_dir(spark, "warehouse"), on_error="report", side_by_side=4, run_id="run-1")
+    told = load_reports(spark, reports)
+    outcome = F.when(F.col("error").isNull(), "loaded").when(F.col("error").startswith("not loaded"), "not loaded").otherwise("failed")
+    return told.select("resource", "rows", "high_water", "skipped", outcome.alias("outcome"))
+
+
+def _by_record_id(rows: DataFrame) -> DataFrame:
+    return promote_nested_key(rows, "id", "record_id")
+
+
+@query("SELECT c_custkey AS id, CAST(1 AS BIGINT) AS copies, (SELECT CAST(count(*) AS BIGINT) FROM customer) AS told FROM customer")
+def append_more_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of a run's pages land after it was loaded: loading it again brings all rows, each once."""
+    warehouse, landing = scratch_dir(spark, "warehouse"), scratch_dir(spark, "landing")
+    pages = _people(spark, sf_dir, "notes", "run-1", F.array(F.struct(F.lit(1).alias("n"))))
+    for part in (pages.where("page_no % 2 = 1"), pages.where("page_no % 2 = 0"), pages.limit(0)):
+        landed = store_pages(part, landing)
+        report = run_source(spark, LEDGER, landed, warehouse, ["notes"], run_id="run-1")["notes"]
+    notes = table_of(spark, warehouse, "ledger", "notes").read().groupBy("id").agg(F.count("*").alias("copies"))
+    return notes.withColumn("told", F.lit(report.rows).cast("bigint"))
+
+
+@query("SELECT CAST(c_nationkey % 3 AS VARCHAR) AS resource, CAST(max(c_custkey) AS VARCHAR) AS mark FROM customer GROUP BY c_nationkey % 3")
+def mark_never_falls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of newer records, then a late one of older ones: the mark is the greatest, as a number."""
+    target = Table(spark, scratch_dir(spark, "marks"))
+    rows = table(spark, sf_dir, "customer").select((F.col("c_nationkey") % 3).alias("of"), F.col("c_custkey").cast("bigint").alias("at"))
+    for of in range(3):
+        own = rows.where(F.col("of") == of)
+        middle = own.agg(F.percentile_approx("at", 0.5)).first()[0]
+        for run, part in enumerate((own.where(F.col("at") >= middle), own.where(F.col("at") < middle))):
+            target.append(part, run_id=f"{of}-{run}", resource=str(of), cursor="at")
+    return cursor_state(target).select("resource", F.col("last_value").alias("mark"))
+
+
+@query(
+    """
+    SELECT user_id, max(ts) AS ts, CAST(w AS VARCHAR) AS way FROM events, (VALUES ('newest first'), ('oldest first')) v(w) GROUP BY user_id, w
+    """
+)
+def stream_merge_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch a file, the newest or the oldest events first: each user's newest row stays either way."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+    middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    halves = [events.where(F.col("event_id") > middle), events.where(F.col("event_id") <= middle)]
+    out = None
+    for way, order in (("newest first", halves), ("oldest first", halves[::-1])):
+        target, path, progress = Table(spark, scratch_dir(spark, "stream")), scratch_dir(spark, "landing"), scratch_dir(spark, "progress")
+        write = batch_writer(target, "merge", ["user_id"], ["at"], stream="users", prepare=lambda p: drop_page(unwrap(p, "data", "user_id bigint, event_id bigint, at string")))
+        for part in order:
+            pages = land(part, record=F.struct("*"), order=F.col("event_id"), page_no=F.floor(F.col("event_id") / 500) + 1, source="site", resource="events")
+            pages.write.mode("append").parquet(path)
+            run_available(stream_pages(spark, path), write, progress)
+        rows = target.read().select("user_id", F.col("at").cast("timestamp_ntz").alias("ts"), F.lit(way).alias("way"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
