@@ -246,7 +246,7 @@ def run_source(
             table = table_of(spark, warehouse, source.name, source[name].table_name)
             return _load(run, source[name], table, run_id, sentinels, child_tables)
 
-        return _in_order(source, names, load, on_error, side_by_side)
+        return _in_order(source, names, inheritable_thread_target(spark)(load), on_error, side_by_side)
 
 
 def _in_order(source: Source, names: list[str], load: Callable[[str], LoadReport], on_error: str, side_by_side: int) -> dict[str, LoadReport]:
@@ -268,7 +268,7 @@ def _in_order(source: Source, names: list[str], load: Callable[[str], LoadReport
                 if name in parents and reports[parents[name]].error is not None:
                     reports[name] = _failure(source, name, f"not loaded: {parents[name]} failed")
                 elif len(running) < side_by_side:
-                    running[pool.submit(inheritable_thread_target(load), name)] = name
+                    running[pool.submit(load, name)] = name
                 else:
                     left.insert(0, name)
                     break

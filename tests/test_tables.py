@@ -233,8 +233,8 @@ def test_append_replace(spark, table):
     assert ids(table.read(), "id") == [(2,)]
     table.replace(rows.limit(0))
     assert table.read().count() == 0 and table.read().columns == ["id", "c"]
-    assert ids(cursor_state(table).where("resource = 'r'"), "resource", "last_value") == [("r", "a")]
-    assert table.high_water("r") == "a" and table.high_water("other") is None
+    assert ids(cursor_state(table).where("resource = 'r'"), "resource", "last_value") == [("r", "b")]
+    assert table.high_water("r") == "b" and table.high_water("other") is None
     assert table.reports().count() == 4
 
 
