@@ -36,6 +36,9 @@ CAPACITY = 50_000
 #: Bits by which one pass over the keys looks ahead when overfull buckets are split.
 BITS_A_PASS = 8
 
+#: Slots of a directory that is broadcast (12 bytes each); a larger one is joined by its slots.
+BROADCAST_SLOTS = 1_000_000
+
 KEY_BITS = 64
 
 
@@ -74,10 +77,11 @@ class Directory:
             for _, end, number in reversed(slots):
                 found = F.when(slot < end, F.lit(number)).otherwise(found)
             return df.withColumn(name, found)
-        # One row for each slot, as in a directory page: at most 2**depth, a few times rows / capacity.
-        rows = [(s, n) for start, end, n in slots for s in range(start, end)]
-        page = spark.createDataFrame(rows, T.StructType([T.StructField("_slot", T.LongType()), T.StructField(name, T.IntegerType())]))
-        return df.withColumn("_slot", _leading(F.col(key), self.depth)).join(F.broadcast(page), "_slot", "left").drop("_slot")
+        # One row for each slot, as in a directory page; Spark makes them from the buckets, a few times rows / capacity.
+        schema = T.StructType([T.StructField(n, T.LongType()) for n in ("_start", "_end")] + [T.StructField(name, T.IntegerType())])
+        page = spark.createDataFrame(slots, schema).select(F.explode(F.sequence("_start", F.col("_end") - 1)).alias("_slot"), name)
+        page = F.broadcast(page) if 1 << self.depth <= BROADCAST_SLOTS else page.hint("merge")
+        return df.withColumn("_slot", _leading(F.col(key), self.depth)).join(page, "_slot", "left").drop("_slot")
 
 
 def build_directory(keys: DataFrame, capacity: int = CAPACITY) -> Directory:
@@ -142,10 +146,17 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, D
         .join(shared, "key", "left_semi")
     )
     alone = keys.where("n = 1").select("key", "text_sha256", "keep_id", F.col("n").alias("group_size"))
-    chain = Window.partitionBy("key").orderBy("text_sha256", "keep_id")
     entries = directory.bucket_of(alone.unionByName(compared), "key")
-    owned = entries.repartitionByRange("bucket", "key").withColumn("chain", F.row_number().over(chain))
-    return rows, written(owned, "exact-index", partition_by=("bucket",)), directory
+    return rows, written(owned(entries), "exact-index", partition_by=("bucket",)), directory
+
+
+def owned(entries: DataFrame) -> DataFrame:
+    """The entries dealt to owners of key ranges, with their place in the chain of their key.
+
+    The window names bucket and key as the ranges do, so Spark keeps the ranges and shuffles once.
+    """
+    chain = Window.partitionBy("bucket", "key").orderBy("text_sha256", "keep_id")
+    return entries.repartitionByRange("bucket", "key").withColumn("chain", F.row_number().over(chain))
 
 
 def exact_dedup(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -71,6 +71,28 @@ def test_directory_splits_and_doubles(spark):
     assert sum(1 << (directory.depth - bits) for _, bits in directory.buckets) == 1 << directory.depth
 
 
+def test_large_directory_is_joined(spark, monkeypatch):
+    keys = spark.range(1000).select(F.xxhash64("id").alias("key"))
+    directory = E.build_directory(keys, 5)
+    assert len(directory.buckets) > 64
+    small = rows_of(directory.bucket_of(keys, "key"), "key", "bucket")
+    monkeypatch.setattr(E, "BROADCAST_SLOTS", 1)
+    assert rows_of(directory.bucket_of(keys, "key"), "key", "bucket") == small
+    assert all(b is not None for _, b in small)
+
+
+def test_owners_hold_key_ranges(spark):
+    entries = spark.range(4000).selectExpr("cast(id % 32 as int) as bucket", "xxhash64(id) as key", "'x' as text_sha256", "id as keep_id")
+    plan = E.owned(entries)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(bucket" in plan
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # A range may end inside a bucket, so four owners share three at most.
+        assert E.owned(entries).select("bucket", F.spark_partition_id()).distinct().count() <= 32 + 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # --- near --------------------------------------------------------------------------
 
 
