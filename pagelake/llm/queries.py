@@ -72,7 +72,7 @@ def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = record(F.col("page_id"), F.col("url"), damaged)
     records = written(manifest(pages, {"replica": replica}), "warc-manifest")
     found = audit(build_tree(records), build_tree(records, "replica"))
-    hurt = found.select(F.col("place").alias("record_no"), F.lit(True).alias("corrupt"))
+    hurt = found.where("corrupt").select(F.col("place").alias("record_no"), "corrupt")
     return (
         records.join(hurt, "record_no", "left")
         .na.fill(False, ["corrupt"])

@@ -281,18 +281,36 @@ def test_fixity(spark, monkeypatch):
     ours, theirs = W.build_tree(records), W.build_tree(records, "copy")
     assert ours.root() != theirs.root()
     # The root by hand.
-    level = [r["digest"] for r in rows]
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    level = [(sha(f"{r['digest']}:{r['offset']}:{r['offset'] + r['length']}"), r["offset"], r["offset"] + r["length"]) for r in rows]
     while len(level) > 1:
-        level = [hashlib.sha256("".join(level[i : i + W.FANOUT]).encode()).hexdigest() for i in range(0, len(level), W.FANOUT)]
-    assert ours.root() == level[0]
-    found = {(r["place"], r["start"], r["end"]) for r in W.audit(ours, theirs).collect()}
-    assert found == {(r["record_no"], r["offset"], r["offset"] + r["length"]) for r in rows if r["page_id"] in (0, 137, 299)}
+        parts = [level[i : i + W.FANOUT] for i in range(0, len(level), W.FANOUT)]
+        level = [(sha(",".join(":".join(map(str, c)) for c in part)), part[0][1], part[-1][2]) for part in parts]
+    assert ours.root() == level[0][0]
+    found = {(r["place"], r["start"], r["end"], r["corrupt"]) for r in W.audit(ours, theirs).collect()}
+    differ = [r for r in rows if r["digest"] != r["copy_digest"] or (r["offset"], r["length"]) != (r["copy_offset"], r["copy_length"])]
+    assert {r["page_id"] for r in rows if r["digest"] != r["copy_digest"]} == {0, 137, 299}
+    assert found == {(r["record_no"], r["offset"], r["offset"] + r["length"], r["page_id"] in (0, 137, 299)) for r in differ}
     assert W.audit(ours, ours).collect() == []
     # A replica that ends early.
     short = W.build_tree(records.where("record_no < 250"))
     assert {r["place"] for r in W.audit(ours, short).collect()} == set(range(250, 302))
 
 
+def test_fixity_of_same_length_and_moved_index(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "<p>abc") for i in range(100)], "page_id long, url string, html string")
+    same = F.when(F.col("page_id") == 41, "<p>abd").otherwise(F.col("html"))
+    records = W.manifest(pages, {"copy": W.record(F.col("page_id"), F.col("url"), same)}).withColumns(
+        {"moved_offset": F.col("offset") + F.when(F.col("record_no") >= 90, 3).otherwise(0), "moved_length": F.col("length"), "moved_digest": F.col("digest")}
+    )
+    ours, moved = W.build_tree(records), W.build_tree(records, "moved")
+    assert [(r["place"], r["corrupt"]) for r in W.audit(ours, W.build_tree(records, "copy")).collect()] == [(41, True)]
+    assert ours.root() != moved.root()
+    assert sorted((r["place"], r["corrupt"]) for r in W.audit(ours, moved).collect()) == [(i, False) for i in range(90, 100)]
+
+
 def test_fixity_of_nothing(spark):
     none = W.manifest(spark.createDataFrame([], "page_id long, url string, html string, offset long, digest string"))
     tree = W.build_tree(none)
