@@ -164,8 +164,12 @@ def _last_id(body: Column, path: str) -> Column:
     return F.get(rows, F.size(rows) - 1)["id"]
 
 
+def _next_page(body: Column, path: str) -> Column:
+    return (F.col("page_no") + 1).cast("string")
+
+
 def _page_size_rule(limit: int) -> ChainRule:
-    return ChainRule(more=lambda b, p: _n(b, p) >= limit)
+    return ChainRule(more=lambda b, p: _n(b, p) >= limit, next_key=_next_page, request_param="page")
 
 
 # How each API says that another page follows.
@@ -209,8 +213,10 @@ CHAIN_RULES: dict[str, ChainRule] = {
             < json_field(b, "pagination.total_pages").try_cast("bigint"),
             F.lit(False),
         ),
+        next_key=_next_page,
+        request_param="page",
     ),
-    "page_until_empty": ChainRule(more=lambda b, p: _n(b, p) > 0),
+    "page_until_empty": ChainRule(more=lambda b, p: _n(b, p) > 0, next_key=_next_page, request_param="page"),
     "single": ChainRule(more=lambda b, p: F.lit(False)),
     "page_of_50": _page_size_rule(50),
     "page_of_100": _page_size_rule(100),
@@ -219,7 +225,12 @@ CHAIN_RULES: dict[str, ChainRule] = {
         next_key=lambda b, p: json_field(b, "data.boards[0].items_page.cursor"),
         request_param="cursor",
     ),
-    "start_position": _page_size_rule(1000),
+    # Positions count from 1, a thousand to a page.
+    "start_position": ChainRule(
+        more=lambda b, p: _n(b, p) >= 1000,
+        next_key=lambda b, p: (F.col("page_no") * 1000 + 1).cast("string"),
+        request_param="startposition",
+    ),
     "next_cursor": ChainRule(
         more=lambda b, p: json_truthy(json_field(b, "has_more"))
         & json_truthy(json_field(b, "next_cursor")),
@@ -227,9 +238,15 @@ CHAIN_RULES: dict[str, ChainRule] = {
         request_param="start_cursor",
     ),
     "next_link": ChainRule(
-        more=lambda b, p: F.get_json_object(b, "$['@odata.nextLink']").isNotNull()
+        more=lambda b, p: F.get_json_object(b, "$['@odata.nextLink']").isNotNull(),
+        next_key=lambda b, p: F.get_json_object(b, "$['@odata.nextLink']"),
+        request_param="url",
+    ),
+    "link_header": ChainRule(
+        more=lambda b, p: F.col("link_next").isNotNull(),
+        next_key=lambda b, p: F.col("link_next"),
+        request_param="url",
     ),
-    "link_header": ChainRule(more=lambda b, p: F.col("link_next").isNotNull()),
 }
 
 

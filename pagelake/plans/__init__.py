@@ -1,6 +1,7 @@
 """Resource pipelines, staging views and the registered queries."""
 
 from pagelake.plans import (  # noqa: F401  (importing a module registers its queries)
+    chain_queries,
     child_queries,
     cursor_queries,
     document_queries,

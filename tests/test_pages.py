@@ -151,6 +151,24 @@ def test_chain_problems(landed):
     assert P.page_chain_audit(linked, "link_header").count() == 0
 
 
+@pytest.mark.parametrize(
+    ("family", "path", "body", "param", "right", "link"),
+    [
+        ("page_total", "data", {"pagination": {"total_pages": 9}}, "page", "2", None),
+        ("page_until_empty", "jobs", {"jobs": [ROW]}, "page", "2", None),
+        ("page_of_50", "data.boards", {"data": {"boards": [ROW] * 50}}, "page", "2", None),
+        ("start_position", "QueryResponse.Invoice", {"QueryResponse": {"Invoice": [ROW] * 1000}}, "startposition", "1001", None),
+        ("next_link", "value", {"@odata.nextLink": "u2"}, "url", "u2", None),
+        ("link_header", "", [], "url", "u2", "u2"),
+    ],
+)
+def test_numbers_and_links_as_keys(landed, family, path, body, param, right, link):
+    for sent, problems in [(right, []), ("7", [(2, "wrong_key")])]:
+        df = landed(page("s", "r", body, link=link), page("s", "r", body, no=2, link=link, **{param: sent}))
+        found = ids(P.page_chain_audit(df, family, path), "page_no", "problem")
+        assert [f for f in found if f[0] == 2] == problems
+
+
 def test_a_feed_left_at_the_mark_is_whole(landed):
     full = {"contacts": [{"id": str(i), "updated_at": "5"} for i in range(99)] + [{"id": "z", "updated_at": "3"}]}
     df = landed(page("s", "r", full))
