@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagelake.operators import dedup as D
 from pagelake.operators import pages as P
+from pagelake.operators.pages import PAGE, POSITION
 from pagelake.operators.sinks import Table, cursor_state
 from pagelake.plans.page_queries import EVENT, event_pages
 from pagelake.plans.registry import query, table
 from pagelake.session import scratch_dir
-from pagelake.sources.landing import write_pages
-from pagelake.streaming.streams import batch_writer, run_available, stream_dedup, stream_pages
+from pagelake.sources.landing import land, write_pages
+from pagelake.streaming.streams import batch_writer, run_available, stream_dedup, stream_pages, stream_take_while as take_while
 
 
 def _table(spark: SparkSession, name: str) -> Table:
@@ -240,3 +241,60 @@ def stream_new_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_pages(pages.where("page_no % 3 = 0"), path)
     run_available(stream_pages(spark, path), write, scratch_dir(spark, "progress"))
     return target.read()
+
+
+def land_run(events: DataFrame, path: str, run_id: str, until: str, pages: str) -> None:
+    """One run over a feed for each event type: days from the newest on, a day's events by number, 20 to a page."""
+    seen = events.where(F.col("ts") <= F.lit(until).cast("timestamp_ntz"))
+    newest_first = Window.partitionBy("event_type").orderBy(F.col("ts").cast("date").desc(), "event_id")
+    placed = seen.withColumn("n", F.row_number().over(newest_first) - 1)
+    landed = land(
+        placed,
+        record=F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at")),
+        order=F.col("n"),
+        feed=F.coalesce("event_type", F.lit("")),
+        page_no=F.floor(F.col("n") / 20) + 1,
+        source="site",
+        resource="events",
+        run_id=run_id,
+    )
+    write_pages(landed.where(pages), path)
+
+
+_TAKE_WHILE = """
+    WITH e AS (
+      SELECT coalesce(event_type, '') AS feed, event_id, ts FROM events),
+    first AS (SELECT feed, event_id, ts FROM e WHERE ts <= TIMESTAMP '2024-01-15 12:00:00'),
+    mark AS (SELECT feed, max(ts) AS mark FROM first GROUP BY feed),
+    second AS (
+      SELECT e.*, mark, row_number() OVER (PARTITION BY feed ORDER BY CAST(ts AS DATE) DESC, event_id) AS n
+      FROM e LEFT JOIN mark USING (feed) WHERE ts <= TIMESTAMP '2024-01-25 12:00:00'),
+    cut AS (SELECT feed, min(n) AS cut FROM second WHERE ts <= mark GROUP BY feed)
+    SELECT 'run-1' AS run, feed, event_id FROM first
+    UNION ALL
+    SELECT 'run-2', feed, event_id FROM second LEFT JOIN cut USING (feed) WHERE cut IS NULL OR n < cut
+"""
+
+
+@query(_TAKE_WHILE)
+def stream_take_while(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over newest-first feeds, their pages landed in two parts each: the second run ends at the mark
+    that the first left in the state, found after a restart. Within a day the order is by number, so
+    fresh rows behind an old one are cut as well."""
+    events, path = table(spark, sf_dir, "events"), scratch_dir(spark, "landing")
+    progress, out = scratch_dir(spark, "progress"), scratch_dir(spark, "taken")
+    for run_id, until in (("run-1", "2024-01-15 12:00:00"), ("run-2", "2024-01-25 12:00:00")):
+        for part in ("page_no <= 3", "page_no > 3"):
+            land_run(events, path, run_id, until, part)
+            rows = P.unwrap(stream_pages(spark, path), "data", "event_id bigint, at string", position=True).select(
+                F.col(f"{PAGE}.run_id").alias("run"),
+                F.col(f"{PAGE}.feed").alias("feed"),
+                F.col(f"{PAGE}.page_no").alias("page_no"),
+                F.col(POSITION).cast("long").alias("place"),
+                "event_id",
+                "at",
+            )
+            taken = take_while(rows, ["feed"], "run", ("page_no", "place"), "at")
+            write = taken.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+            write.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("run", "feed", "event_id")

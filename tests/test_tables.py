@@ -10,6 +10,7 @@ from pagelake.operators.contract import align_to_template, columns, drop_sentine
 from pagelake.operators.pages import unwrap
 from pagelake.operators.sinks import Table, cursor_state
 from pagelake.session import scratch_dir
+from pagelake.streaming.streams import stream_take_while
 
 
 @pytest.fixture
@@ -342,3 +343,37 @@ def test_missing_cursor_counts_before_the_cut_only(landed):
     early = unwrap(landed(page("s", "r", body("9", None, "1"))), "data", "id bigint, at string", position=True)
     with pytest.raises(Exception, match="cursor value is missing"):
         I.take_while_fresh(early, "at", "5", missing="raise").collect()
+
+
+def take_stream(spark, tmp_path, batches, **more):
+    """What is left of rows (feed, run, page, place, at) that arrive batch by batch, each after a restart."""
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "feed string, run string, page long, place long, at string"
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        taken = stream_take_while(spark.readStream.schema(schema).parquet(source), ["feed"], "run", ("page", "place"), "at", **more)
+        write = taken.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+        write.trigger(availableNow=True).start().awaitTermination()
+    return sorted((r["feed"], r["run"], r["page"], r["place"]) for r in spark.read.schema(schema).parquet(out).collect())
+
+
+def test_stream_take_while_keeps_the_mark_in_state(spark, tmp_path):
+    first = [("a", "1", 1, 0, "5"), ("a", "1", 1, 1, None), ("b", "1", 1, 0, "3")]
+    second = [("a", "2", 1, 1, "5"), ("a", "2", 1, 2, "9"), ("a", "2", 1, 0, "7"), ("b", "2", 1, 0, "4"), ("c", "2", 1, 0, "1")]
+    # The cut of a feed holds in later batches of its run; b's goes on, then ends.
+    third = [("a", "2", 2, 0, "8"), ("b", "2", 2, 0, "6"), ("b", "2", 2, 1, None), ("b", "2", 2, 2, "9")]
+    # The next run's mark is the greatest that was delivered.
+    fourth = [("a", "3", 1, 0, "8"), ("a", "3", 1, 1, "7"), ("a", "3", 1, 2, "8"), ("b", "3", 1, 0, "6")]
+    got = take_stream(spark, tmp_path, [first, second, third, fourth])
+    assert got == [
+        ("a", "1", 1, 0), ("a", "1", 1, 1), ("a", "2", 1, 0), ("a", "3", 1, 0),
+        ("b", "1", 1, 0), ("b", "2", 1, 0), ("b", "2", 2, 0), ("c", "2", 1, 0),
+    ]
+
+
+def test_stream_take_while_missing_and_order(spark, tmp_path):
+    first, second = [("a", "1", 1, 0, "5")], [("a", "2", 2, 0, None), ("a", "2", 2, 1, "6")]
+    assert len(take_stream(spark, tmp_path / "fresh", [first, second], missing="include")) == 3
+    for late in ([("a", "2", 1, 0, "4")], [("a", "1", 3, 0, "9")]):
+        with pytest.raises(Exception, match="OutOfOrder"):
+            take_stream(spark, tmp_path / late[0][1], [first, [("a", "2", 2, 1, "6")], late])
