@@ -383,3 +383,13 @@ def test_decontaminate_judges_each_row(spark):
     leak, clean = "so one two three four five six seven it is", "nothing of that kind is in here at all"
     docs = spark.createDataFrame([(None, leak), (None, clean), (1, leak), (1, clean), (2, None)], "doc_id long, text string")
     assert rows_of(decontaminate(docs, items), "doc_id", "text") == sorted([(None, clean), (1, clean), (2, None)], key=repr)
+
+
+def test_bitmap_keeps_every_key_and_few_others(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("form_key"), "id").withColumn("form_key", F.when(F.col("id") == 7, F.lit(-(2**63))).otherwise(F.col("form_key")))
+    keys = rows.where("id % 10 = 7").select("form_key")
+    left = {r.id for r in L._near_keys(rows, keys).collect()}
+    assert {i for i in range(20_000) if i % 10 == 7} <= left
+    assert len(left) < 2_100
+    none = keys.limit(0)
+    assert L._near_keys(rows, none).count() == 0
