@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Iterator, Mapping
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -219,14 +220,63 @@ def _documents(rows: DataFrame, cursor: str) -> DataFrame:
     return aligned.select(*DOCUMENT_TYPES, "_cursor")
 
 
-#: Files and bytes read at once; the paths of a pack pass through the driver.
-PACK_FILES, PACK_BYTES = 10_000, 16 << 30
+#: Files and bytes that one task lists or reads.
+PACK_FILES, PACK_BYTES = 2_000, 128 << 20
+
+_FILE_ROW = "path string, length bigint, modificationTime timestamp"
+
+
+def qualified(spark, path: str) -> str:
+    """The path with its file system, as the cluster resolves it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a qualified path, for use in a task, and the path on it."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(path)
+
+
+def _visible(below: str) -> bool:
+    """Whether Spark would list a file of this path below the folder."""
+    return not any(p.startswith(".") or (p.startswith("_") and "=" not in p) or p.endswith("._COPYING_") for p in below.split("/"))
+
+
+def _listing(root: str, recursive: bool):
+    """Lists folders below ``root``; a folder inside, if not entered, is a row without a length."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = file_system(root)
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                found = fs.get_file_info(pafs.FileSelector(top + folder.removeprefix(root), recursive=recursive))
+                below = [f.path[len(top) :] for f in found]
+                rows = [(f, b) for f, b in zip(found, below, strict=True) if _visible(b.strip("/")) and (f.is_file or not recursive)]
+                yield pa.record_batch(
+                    [
+                        pa.array([root + b for _, b in rows], pa.string()),
+                        pa.array([f.size if f.is_file else None for f, _ in rows], pa.int64()),
+                        pa.array([f.mtime for f, _ in rows], pa.timestamp("us", "UTC")),
+                    ],
+                    ["path", "length", "modificationTime"],
+                )
+
+    return listed
 
 
 def file_list(spark, path: str) -> DataFrame:
-    """path, length and modificationTime of the files below ``path``; no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", "modificationTime")
+    """path, length and modificationTime of the files below ``path`` that hold bytes; no file is opened.
+
+    A task lists ``path`` itself, then tasks list the folders in it, each with all below it.
+    """
+    root = qualified(spark, path).rstrip("/")
+    top = settle(spark.createDataFrame([(root,)], "path string").mapInArrow(_listing(root, False), _FILE_ROW))
+    folders = top.where("length is null").select("path")
+    tasks = max(1, min(folders.count(), 4 * spark.sparkContext.defaultParallelism))
+    deep = folders.repartition(tasks).mapInArrow(_listing(root, True), _FILE_ROW)
+    return top.where("length is not null").unionByName(deep).where("length > 0")
 
 
 def file_name() -> Column:
@@ -234,31 +284,46 @@ def file_name() -> Column:
     return F.element_at(F.split("path", "/"), -1)
 
 
+def _reading(root: str, most: int):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = file_system(root)
+        for batch in batches:
+            items, contents, held = [], [], 0
+            for path, item, length in zip(*(batch.column(c).to_pylist() for c in ("path", "item_id", "length")), strict=True):
+                if length > most:
+                    raise ValueError(f"{path} has {length} bytes, more than spark.sql.sources.binaryFile.maxLength")
+                # What is held goes out first, so that a batch holds 16 MB or one file.
+                if held + length > 16 << 20 and items:
+                    yield pa.record_batch([pa.array(items, pa.string()), pa.array(contents, pa.binary())], ["item_id", "content"])
+                    items, contents, held = [], [], 0
+                with fs.open_input_stream(top + path.removeprefix(root)) as file:
+                    contents.append(file.read())
+                items.append(item)
+                held += length
+            yield pa.record_batch([pa.array(items, pa.string()), pa.array(contents, pa.binary())], ["item_id", "content"])
+
+    return read
+
+
 def fresh_content(
     spark, path: str, items: DataFrame, *, item_of: Column | None = None, pack_files: int = PACK_FILES, pack_bytes: int = PACK_BYTES
 ) -> DataFrame:
     """item_id, content of the files below ``path`` that belong to ``items`` (their ``id``).
 
-    Paths and lengths are listed first and joined with the items; only the files that remain are opened, in packs
-    of about ``pack_files`` files and ``pack_bytes`` bytes, each dealt over tasks by size. ``item_of`` tells the item of a
-    path (default: the file name). Spark lists no empty files: items whose ``size`` is 0 get empty content.
+    Paths and lengths are listed first and joined with the items; only the files that remain are opened, each once,
+    by tasks of about ``pack_files`` files and ``pack_bytes`` bytes, and what they hold is settled. No path passes through
+    the driver. ``item_of`` tells the item of a path (default: the file name). Empty files are not listed: items whose
+    ``size`` is 0 get empty content. The file system must be one that Arrow opens (local, HDFS, S3, GCS, Azure).
     """
     named = file_list(spark, path).withColumn("item_id", file_name() if item_of is None else item_of)
     ids = items.select(F.col("id").cast("string").alias("item_id")).distinct()
     chosen = settle(lookup_join(named, ids, ["item_id"], "left_semi"))
     size = chosen.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
-    packs = max(1, -(-size["n"] // pack_files), -(-size["bytes"] // pack_bytes))
-    pack = F.pmod(F.xxhash64("path"), F.lit(packs))
-    out = None
-    for number in range(packs):
-        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in chosen.where(pack == number).select("path").collect()]
-        if paths:
-            read = spark.read.format("binaryFile").load(paths).select("path", "content")
-            out = read if out is None else out.unionByName(read)
-    if out is None:
-        found = spark.createDataFrame([], "item_id string, content binary")
-    else:
-        found = out.withColumn("item_id", file_name() if item_of is None else item_of).select("item_id", "content")
+    packs = max(1, min(size["n"], spark.sparkContext.defaultParallelism), -(-size["n"] // pack_files), -(-size["bytes"] // pack_bytes))
+    most = spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1))
+    reading = _reading(qualified(spark, path).rstrip("/"), int(most))
+    dealt = chosen.select("path", "item_id", "length").repartition(packs, "path")
+    found = settle(dealt.mapInArrow(reading, "item_id string, content binary"))
     if "size" not in items.columns:
         return found
     empty = items.where("size = 0").select(F.col("id").cast("string").alias("item_id")).distinct()

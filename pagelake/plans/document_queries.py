@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.functions import classify as C
 from pagelake.functions import values as V
 from pagelake.functions.text import email_domain
-from pagelake.operators.dependent import fresh_content, sharepoint_documents
+from pagelake.operators.dependent import file_system, fresh_content, qualified, sharepoint_documents
 from pagelake.operators.incremental import skip_stale
 from pagelake.operators.pages import FILE_ATTACHMENT, drop_page, unwrap
 from pagelake.plans.pipeline import Run, run_source, table_of
 from pagelake.plans.registry import query, table
-from pagelake.session import scratch_dir
+from pagelake.session import scratch_dir, settle
 from pagelake.sources.catalog import SOURCES
 from pagelake.sources.landing import even_pages, land, store_pages
 
@@ -301,6 +305,34 @@ def mail_documents_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.rows("mail_documents").select("document_id", "doc_role")
 
 
+def _write_library(docs: DataFrame, folder: str) -> None:
+    """One text file for each ``item``, its ``value`` and a line feed; values of one item in one task share a file.
+
+    A task has folders of its own, each of at most 1,000 files, so no step over all files is left to the driver and a
+    repeated task writes the same files again.
+    """
+    root = qualified(docs.sparkSession, folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = file_system(root)
+        task, files, item, out = TaskContext.get().partitionId(), 0, None, None
+        for batch in batches:
+            for name, value in zip(batch.column("item").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if out is None or name != item:
+                    if out is not None:
+                        out.close()
+                    at = f"{top}/part-{task}-{files // 1000}"
+                    if files % 1000 == 0:
+                        fs.create_dir(at, recursive=True)
+                    item, out, files = name, fs.open_output_stream(f"{at}/{name}.txt"), files + 1
+                out.write(value.encode() + b"\n")
+        if out is not None:
+            out.close()
+        yield pa.record_batch([pa.array([files], pa.int64())], ["files"])
+
+    docs.sortWithinPartitions("item").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+
+
 ITEM = (
     "id string, name string, size bigint, file struct<mimeType:string>, webUrl string, lastModifiedDateTime string, "
     "createdBy struct<user:struct<email:string>>"
@@ -318,7 +350,7 @@ def library_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as files of a library: those of fresh items are read, the others only listed."""
     docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     folder = scratch_dir(spark, "library")
-    docs.select(F.col("doc_id").alias("item"), F.col("text").alias("value")).write.partitionBy("item").text(folder)
+    _write_library(docs.select(F.col("doc_id").cast("string").alias("item"), F.col("text").alias("value")), folder)
     record = F.struct(
         F.col("doc_id").cast("string").alias("id"),
         F.concat("lang", F.lit(".txt")).alias("name"),
@@ -327,7 +359,7 @@ def library_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("doc_id") % 3 != 0, "2024-02-01T00:00:00Z").otherwise("2023-02-01T00:00:00Z").alias("lastModifiedDateTime"),
     )
     items = land(docs, record=record, order=F.col("doc_id"), page_no=F.floor(F.col("doc_id") / 200) + 1, envelope=lambda x: F.struct(x.alias("value")), source="m365_graph", resource="items")
-    fresh = skip_stale(drop_page(unwrap(items, "value", ITEM)), "lastModifiedDateTime", "2024-01-01T00:00:00Z")
-    of_folder = F.regexp_extract("path", "/item=([^/]*)/[^/]*$", 1)
-    found = sharepoint_documents(fresh, fresh_content(spark, folder, fresh, item_of=of_folder), "site")
+    fresh = settle(skip_stale(drop_page(unwrap(items, "value", ITEM)), "lastModifiedDateTime", "2024-01-01T00:00:00Z"))
+    of_file = F.regexp_extract("path", "/([^/]*)[.]txt$", 1)
+    found = sharepoint_documents(fresh, fresh_content(spark, folder, fresh, item_of=of_file), "site")
     return found.select("document_id", "size_bytes", F.sha2("content_base64", 256).alias("content_sha256"))

@@ -11,6 +11,7 @@ from pagelake.operators import link_chains as L
 from pagelake.operators import selection as S
 from pagelake.operators.dependent import fresh_content
 from pagelake.operators.sinks import LoadReport, Table, cursor_state
+from pagelake.plans.document_queries import _write_library
 from pagelake.plans.pipeline import _in_order
 from pagelake.sources import manifest as M
 from pagelake.sources.landing import store_pages
@@ -146,6 +147,38 @@ def test_stale_files_are_listed_only(spark, tmp_path):
         spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
 
 
+def test_files_are_not_dealt_one_by_one(spark, tmp_path):
+    """Listing and reading many files takes few tasks, hidden files are left out, folders are entered."""
+    for n in range(300):
+        folder = tmp_path / f"f{n % 3}" / "in [x] %20"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{n}").write_bytes(b"x" * (n + 1))
+    (tmp_path / "f0" / "_7").write_bytes(b"no")
+    (tmp_path / "f0" / ".7").write_bytes(b"no")
+    (tmp_path / "300").write_bytes(b"top")
+    items = spark.createDataFrame([(str(n),) for n in range(0, 301, 2)], "id string")
+    context = spark.sparkContext
+    context.setJobGroup("files", "files")
+    try:
+        got = fresh_content(spark, str(tmp_path), items).collect()
+        tracker = context.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup("files") for s in tracker.getJobInfo(job).stageIds}
+        tasks = sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((int(r["item_id"]), len(r["content"])) for r in got) == [*((n, n + 1) for n in range(0, 300, 2)), (300, 3)]
+    assert tasks < 150
+
+
+def test_library_has_a_file_for_each_item(spark, tmp_path):
+    rows = spark.createDataFrame([("2", "b"), ("1", "a"), ("2", ""), ("3", "ü")], "item string, value string").coalesce(1)
+    _write_library(rows, str(tmp_path / "library"))
+    files = {f.name: f.read_bytes() for f in (tmp_path / "library").rglob("*.txt")}
+    assert sorted(files) == ["1.txt", "2.txt", "3.txt"]
+    assert files["1.txt"] == b"a\n" and sorted(files["2.txt"].split(b"\n")) == [b"", b"", b"b"] and files["3.txt"] == "ü\n".encode()
+    assert len(list((tmp_path / "library").iterdir())) == 1
+
+
 # --- whole sources -----------------------------------------------------------------
 
 
