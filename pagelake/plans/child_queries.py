@@ -10,7 +10,7 @@ from pagelake.operators import pages as P
 from pagelake.operators.joins import lookup_join
 from pagelake.plans.page_queries import LINE_KEY, ORDER, order_pages
 from pagelake.plans.registry import query, table
-from pagelake.session import scratch_dir
+from pagelake.session import scratch_dir, settle
 from pagelake.sources.landing import land, pick, store_pages
 
 LINE_ITEM = (
@@ -23,25 +23,31 @@ INVOICE = (
 )
 
 
-def _invoice_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Line items with their order, and per order their number and which one is embedded."""
+def _invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the number of lines of their order, ``n``, and whether they are the ``embedded`` one.
+
+    The lines are joined with what is known of their orders once, as plain columns, and written; the records are made
+    from the written rows.
+    """
     key = [F.col(k).cast("string") for k in LINE_KEY[:-1]]
     day = F.unix_date(F.col("l_shipdate").cast("date")).cast("string")
-    lines = table(spark, sf_dir, "lineitem").select(
+    ident = F.concat_ws("-", *key, day)
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_extendedprice", "l_discount", "l_quantity")
+    mark = F.xxhash64(ident)
+    per_order = lines.groupBy("l_orderkey").agg(F.min(mark).alias("first"), F.count(F.lit(1)).alias("n"))
+    dealt = lookup_join(lines, per_order, ["l_orderkey"], spread=LINE_KEY)
+    return settle(dealt.withColumn("embedded", mark == F.col("first")).drop("first")).select(
         "l_orderkey",
         F.struct(
-            F.concat_ws("-", *key, day).alias("id"),
+            ident.alias("id"),
             F.col("l_extendedprice").alias("amount"),
             F.col("l_discount").alias("discount"),
             F.col("l_quantity").alias("quantity"),
             F.lit(None).cast("string").alias("invoice"),
         ).alias("line"),
+        "n",
+        "embedded",
     )
-    lines = lines.withColumn("mark", F.xxhash64("line.id"))
-    per_order = lines.groupBy("l_orderkey").agg(
-        F.min("mark").alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    return lines, per_order
 
 
 def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,9 +57,8 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     An order with very many lines only gets more overflow pages.
     """
     orders = table(spark, sf_dir, "orders")
-    lines, per_order = _invoice_lines(spark, sf_dir)
-    dealt = lookup_join(lines, per_order, ["l_orderkey"], spread=["mark"])
-    embedded = dealt.where("mark = first").select("l_orderkey", "line", "n")
+    dealt = _invoice_lines(spark, sf_dir)
+    embedded = dealt.where("embedded").select("l_orderkey", "line", "n")
     invoice_id = F.concat(F.lit("in_"), F.col("o_orderkey").cast("string"))
     first = F.filter(F.array("line"), lambda x: x.isNotNull())
     created = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
@@ -79,9 +84,10 @@ def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         resource="invoices",
     )
     overflow = land(
-        dealt.where("mark <> first"),
+        dealt.where("not embedded"),
         record=F.col("line"),
-        order=F.col("line.id"),
+        # The id comes first in the record itself.
+        order=F.lit(0),
         feed=F.concat(F.lit("in_"), F.col("l_orderkey").cast("string")),
         page_no=F.pmod(F.xxhash64("line.id"), F.ceil(F.col("n") / 100)) + 1,
         source="stripe",

@@ -55,7 +55,7 @@ def pick(
 
 def write_pages(pages: DataFrame, path: str) -> None:
     """Add pages to a landing folder, laid out by source, resource and run."""
-    pages.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    pages.write.mode("append").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(path)
 
 
 def store_pages(pages: DataFrame, path: str) -> DataFrame:

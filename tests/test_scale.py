@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from pagelake.operators import link_chains as L
 from pagelake.operators import selection as S
+from pagelake.operators import sinks
+from pagelake.operators.dedup import latest_by_key
 from pagelake.operators.dependent import fresh_content
 from pagelake.operators.sinks import LoadReport, Table, cursor_state
+from pagelake.plans import source_queries
+from pagelake.plans.child_queries import invoice_line_items, invoice_pages
 from pagelake.plans.document_queries import _write_library
-from pagelake.plans.pipeline import _in_order
+from pagelake.plans.pipeline import _in_order, run_source, table_of
 from pagelake.sources import manifest as M
 from pagelake.sources.landing import store_pages
 from pagelake.specs import Cursor, Parent, Resource, Source
@@ -179,6 +183,61 @@ def test_library_has_a_file_for_each_item(spark, tmp_path):
     assert len(list((tmp_path / "library").iterdir())) == 1
 
 
+# --- what is shuffled and written ----------------------------------------------------
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    """Two customers, three orders (one without lines), one with very many lines."""
+    day = "timestamp'1997-01-01'"
+    tables = {
+        "nation": "SELECT 1 n_nationkey, 'n' n_name",
+        "supplier": "SELECT 1 s_suppkey, 's' s_name, 1 s_nationkey",
+        "customer": "SELECT id c_custkey, concat('c', id) c_name, 5.0D c_acctbal FROM range(1, 3)",
+        "orders": f"SELECT id * 1000 o_orderkey, 1 + id % 2 o_custkey, 'O' o_orderstatus, {day} o_orderdate FROM range(1, 4)",
+        "lineitem": f"""SELECT 1000 * (1 + id div 7) l_orderkey, id l_partkey, id l_suppkey, id l_linenumber, {day} l_shipdate,
+            10.0D l_extendedprice, 0.5D l_discount, 1.0D l_quantity FROM range(14)
+            UNION ALL SELECT 2000, id, id, id, {day}, 10.0D, 0.5D, 1.0D FROM range(100, 400)""",
+        "events": f"SELECT 1L event_id, 1L user_id, 'view' event_type, {day} ts",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_invoice_lines_are_joined_once(spark, shop):
+    pages = invoice_pages(spark, shop)
+    assert "lineitem.parquet" not in " ".join(pages.inputFiles())
+    sizes = {r["feed"]: (r["n"], r["lines"]) for r in pages.where("resource = 'invoice_line_items'").selectExpr("feed", "size(from_json(body, 'data array<string>').data) l").groupBy("feed").agg(F.count("*").alias("n"), F.sum("l").alias("lines")).collect()}
+    assert sizes == {"in_1000": (1, 6), "in_2000": (4, 306)}
+    got = ids(invoice_line_items(spark, shop), "invoice_id", "n_lines", "revenue")
+    assert got == [("in_1000", 7, 35.0), ("in_2000", 307, 1535.0)]
+
+
+def test_commits_of_an_order_share_pages(spark, shop, monkeypatch):
+    landed = {}
+    monkeypatch.setattr(source_queries, "store_pages", lambda pages, path: landed.setdefault("pages", store_pages(pages, path)))
+    found = source_queries.source_github(spark, shop)
+    assert found.where("resource = 'pull_request_commits'").count() == 314
+    pages = landed["pages"].where("resource = 'pull_request_commits'")
+    assert {r["feed"]: r["count"] for r in pages.groupBy("feed").count().collect()} == {"c2|1000": 1, "c1|2000": 4}
+
+
+def test_a_merged_run_is_sorted_out_once(spark, landed, tmp_path, monkeypatch):
+    """Records held as one version of each key are not shuffled by key again, unless the contract casts the key."""
+    calls = []
+    monkeypatch.setattr(sinks, "latest_by_key", lambda *given: calls.append(given[1]) or latest_by_key(*given))
+    rows = [{"id": "1", "at": "a", "v": "old"}, {"id": "1", "at": "b", "v": "new"}, {"id": "01", "at": "c", "v": "x"}, {"at": "d"}]
+    for contract, kept, sorted_out in (({}, [("01", "x"), ("1", "new")], 0), ({"id": "bigint"}, [1], 1)):
+        source = Source("s", (Resource("s", "r", "data", "single", disposition="merge", cursor=Cursor("at"), declared="id string, at string", contract=contract),))
+        calls.clear()
+        warehouse = f"{tmp_path}/{sorted_out}"
+        report = run_source(spark, source, landed(page("s", "r", {"data": rows})), warehouse)["r"]
+        table = table_of(spark, warehouse, "s", "r").read()
+        assert (ids(table, "id", "v") if not contract else [r["id"] for r in table.collect()]) == kept
+        assert len(calls) == sorted_out and report.high_water == "c"
+
+
 # --- whole sources -----------------------------------------------------------------
 
 
