@@ -15,7 +15,7 @@ from pagelake.plans.registry import query, table
 from pagelake.session import scratch_dir
 from pagelake.sources.catalog import SOURCES
 from pagelake.sources.catalog.quickbooks import UPDATED, WHOLE
-from pagelake.sources.landing import even_pages, land, store_pages
+from pagelake.sources.landing import land, store_pages
 
 
 def envelope(selector: str) -> Callable[[Column], Column]:
@@ -413,7 +413,10 @@ def source_github(spark: SparkSession, sf_dir: str) -> DataFrame:
     sha = F.concat_ws(
         "-", *[_text(k) for k in LINE_KEY[:-1]], F.date_format("l_shipdate", "yyyyMMdd")
     )
-    keyed_lines = lines.join(named_orders.select("o_orderkey", "c_name"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # A page holds about 100 lines of one order; most orders need one page.
+    counted = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_lines"))
+    numbered_orders = named_orders.select("o_orderkey", "c_name").join(counted, "o_orderkey")
+    keyed_lines = lines.join(numbered_orders, F.col("l_orderkey") == F.col("o_orderkey"))
     key_of = F.create_map(
         F.lit("repository"),
         F.substring_index("feed", "|", 1),
@@ -427,9 +430,10 @@ def source_github(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         1,
         commit(sha, F.col("l_shipdate")),
-        order=sha,
+        # The sha comes first in the record itself.
+        order=F.lit(0),
         feed=F.concat_ws("|", "c_name", _text("l_orderkey")),
-        page_no=even_pages(lines, LINE_KEY, 100),
+        page_no=F.pmod(F.xxhash64(*LINE_KEY), F.ceil(F.col("n_lines") / 100)) + 1,
     ).withColumn("request_key", key_of)
     stats = _land(
         named_orders,
