@@ -126,7 +126,8 @@ class Table:
     def _write(self, rows: DataFrame, by: str | None = None) -> list[dict]:
         """Write a new data folder; its parts with their rows, one for each bucket with ``by``."""
         path = f"data/{uuid.uuid4().hex}"
-        writer = rows.write.partitionBy(by) if by else rows.write
+        writer = rows.write.option("compression", "zstd")
+        writer = writer.partitionBy(by) if by else writer
         writer.parquet(f"{self.root}/{path}")
         if by is None:
             return [{"path": path, "rows": -1}]
@@ -155,17 +156,23 @@ class Table:
         order: Sequence[str | Column] = (),
         *,
         of_parents: DataFrame | None = None,
+        unique: bool = False,
         **run: object,
     ) -> Record:
+        """``unique``: the rows are one per key already and read from files, so they are neither sorted out nor written once more."""
         records = self._records()
         keys = list(keys)
-        rows, watch = _watched(_writable(rows.dropna(subset=keys)), run.get("cursor"))
-        if of_parents is None:
-            rows = latest_by_key(rows, keys, list(order) or [F.lit(1)])
-        incoming = settle(rows)
-        seen = watch.get
-        gone = incoming if of_parents is None else of_parents
-        gone = settle(gone.select(*keys).dropna().distinct())
+        rows = _writable(rows.dropna(subset=keys))
+        if unique:
+            seen, incoming = _counted(rows, run.get("cursor"))
+        else:
+            rows, watch = _watched(rows, run.get("cursor"))
+            if of_parents is None:
+                rows = latest_by_key(rows, keys, list(order) or [F.lit(1)])
+            incoming = settle(rows)
+            seen = watch.get
+        gone = (incoming if of_parents is None else of_parents).select(*keys).dropna()
+        gone = settle(gone if unique else gone.distinct())
         live = live_files(records)
         stored = sum(n for n, _ in live.values())
         buckets = records[-1].buckets if records else None
@@ -321,19 +328,32 @@ class _Watch:
 
 def _watched(rows: DataFrame, cursor: object) -> tuple[DataFrame, _Watch]:
     """Rows that report their count, largest cursor and columns with values while they are written."""
-    # A cursor column starting with "_" only serves the mark.
-    unseen = {str(cursor)} if str(cursor).startswith("_") else set()
-    names = {f.name: f"has{i}" for i, f in enumerate(rows.schema.fields) if f.name not in unseen}
+    names, mark_type, measures = _measures(rows, cursor)
+    watch = _Watch(names, mark_type)
+    return _shown(rows.observe(watch.observation, *measures), cursor), watch
+
+
+def _counted(rows: DataFrame, cursor: object) -> tuple[dict, DataFrame]:
+    """What :func:`_watched` reports, of rows that are files already, and the rows."""
+    names, mark_type, measures = _measures(rows, cursor)
+    return {**rows.agg(*measures).first().asDict(), "names": names, "mark_type": mark_type}, _shown(rows, cursor)
+
+
+def _shown(rows: DataFrame, cursor: object) -> DataFrame:
+    """Rows without a cursor column that only serves the mark: its name starts with "_"."""
+    return rows.drop(str(cursor)) if str(cursor).startswith("_") else rows
+
+
+def _measures(rows: DataFrame, cursor: object) -> tuple[dict[str, str], str | None, list[Column]]:
+    names = {f.name: f"has{i}" for i, f in enumerate(_shown(rows, cursor).schema.fields)}
     whole = cursor is not None and isinstance(rows.schema[str(cursor)].dataType, T.IntegralType)
-    watch = _Watch(names, None if cursor is None else "bigint" if whole else "text")
     measures = [F.count(F.lit(1)).alias("rows"), *(F.coalesce(F.max(F.col(f"`{n}`").isNotNull()), F.lit(False)).alias(k) for n, k in names.items())]
     if cursor is not None:
         largest = F.max(str(cursor))
         if isinstance(rows.schema[str(cursor)].dataType, (T.TimestampType, T.TimestampNTZType)):
             largest = F.date_format(largest, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         measures.append(largest.cast("string").alias("high_water"))
-    seen = rows.observe(watch.observation, *measures)
-    return (seen.drop(*unseen) if unseen else seen), watch
+    return names, None if cursor is None else "bigint" if whole else "text", measures
 
 
 def cursor_state(table: Table) -> DataFrame:

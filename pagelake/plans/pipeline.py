@@ -338,7 +338,13 @@ def _load(run: Run, resource: Resource, table: Table, run_id: str | None, sentin
         rows = with_sentinel(rows, keys)
     cursor = CURSOR if CURSOR in rows.columns else None
     skipped = run.skipped(name).count() if resource.skip else 0
-    own = table.staged(rows, resource.disposition, keys, cursor=cursor, skipped=skipped, **_without(table, noted, again), **noted)
+    if merged:
+        held = run.increment(name).schema
+        # A key that the contract casts may repeat again.
+        unique = all(held[k].dataType == rows.schema[c].dataType for k, c in zip(resource.key, keys, strict=True))
+        own = table.staged_merge(rows, keys, unique=unique, cursor=cursor, skipped=skipped, **noted)
+    else:
+        own = table.staged(rows, resource.disposition, keys, cursor=cursor, skipped=skipped, **_without(table, noted, again), **noted)
     if name in run.late:
         own = with_counts(own, late=run.late[name].get["late"])
     return table.commit(own, *staged)
