@@ -248,7 +248,7 @@ def spans_of(words: Words, path: np.ndarray, languages: tuple[str, ...]) -> list
 
 
 #: Text bytes that take the steps together, for eight languages and fewer the more there are; and the least.
-BATCH_BYTES, LEAST_BYTES = 5 << 20, 1 << 18
+BATCH_BYTES, LEAST_BYTES = 3 << 19, 1 << 18
 #: Bytes of a model that is sent to the tasks: some thousand languages.
 MODEL_BYTES = 1 << 30
 

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import no_docs, odd_docs, sf_dir  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
@@ -477,3 +479,17 @@ def test_mixing_by_brute_force(spark, sf_dir):
         assert (r["source"], r["lang"], r["topic"], r["n_tokens"]) == (s, g, t, n)
         assert r["weight"] == pytest.approx(w, rel=1e-3) and r["probability"] == pytest.approx(p, rel=2e-3)
         assert r["sampled"] == (unit[i] < p) or abs(unit[i] - p) < 5e-3
+
+
+def test_language_batch_memory():
+    """What a task holds for one batch of text, of eight languages, beside the batch itself."""
+    rng = np.random.default_rng(1)
+    model = G.Model(tuple("abcdefgh"), rng.random((G.SLOTS, 8), np.float32), np.ones((len(G.SCRIPTS), 8), bool))
+    text = " ".join("abcde"[: 1 + i % 5] for i in range(600))
+    texts = pa.array([text] * (G._batch_bytes(model) // len(text)))
+    tracemalloc.start()
+    words = G.words_of(texts)
+    G.best_paths(G.word_scores(model, words), words.rows, 12.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
