@@ -327,6 +327,36 @@ def test_every_template_of_a_leaf(spark):
     assert sorted(r["doc_id"] for r in got.where("text <> ''").collect()) == want
 
 
+def test_texts_are_parted_into_lines_once(spark, monkeypatch):
+    calls, lines = [], L._lines
+    monkeypatch.setattr(L, "_lines", lambda docs: calls.append(1) or lines(docs))
+    docs = [(i, f"the  shared line {i} of all\n  a line of {'abcdef'[i]} own ") for i in range(6)]
+    got = L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "text") == sorted(lines_brute(docs, leader_keys(spark, docs)), key=repr)
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("few", [1, 2, 64])
+def test_chance_likeness_takes_few_rounds(spark, monkeypatch, few):
+    """Each line shares a stretch with the next by chance, so before, each waited a round for the one before it."""
+    n = 10
+    word = lambda *x: "w" + "".join("abcdefghijklmnop"[i] for i in x)
+    stretch = lambda i, j: [word(i, j), word(j, i)]
+    lines = []
+    for i in range(n):
+        bands = [stretch(i, 11), stretch(i, 12), stretch(i, 13), stretch(i, 14)]
+        bands[i % 2], bands[(i + 1) % 2] = stretch(i, 15), stretch(i - 1, 15) if i else stretch(i, 10)
+        lines.append(" ".join(["see", "also", *sum(bands, [])]))
+    near = [" ".join(x.split(" ")[:-1] + ["else"]) for x in lines]
+    docs = [(d, "\n".join(lines[: n - d])) for d in range(n)] + [(20 + d, "\n".join(near[d:])) for d in range(4)]
+    rounds, write = [], L.written
+    monkeypatch.setattr(L, "FEW", few)
+    monkeypatch.setattr(L, "written", lambda df, name, **how: rounds.append(name) or write(df, name, **how))
+    got = L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "text") == sorted(lines_brute(docs, leader_keys(spark, docs)), key=repr)
+    assert rounds.count("line-round") <= 5 if few == 64 else rounds.count("line-round") > 5
+
+
 def test_documents_of_a_template_count_once(spark):
     names = ["Alice Smith", "Bob Jones", "Cy Brown", "Di Green", "Ed White", "Flo Black"]
     line = "For more details on that please contact %s"
